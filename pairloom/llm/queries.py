@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import neardup, overlap
+from pairloom.llm import encode, neardup, overlap, packing, spam
 from pairloom.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,5 +37,39 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.overlap_report(_overlaps(spark, sf_dir))
 
 
+#: The tokenizer that problems 7 and 8 name.
+TOKENIZER = "byte_bpe_50k"
+
+
+def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode.encode(read_table(spark, sf_dir, "documents"), "doc_id", "text", TOKENIZER).withColumnRenamed("id", "doc_id")
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    specs = [packing.Spec(r.spec_id, r.capacity) for r in read_table(spark, sf_dir, "container_specs").filter(F.col("tokenizer") == TOKENIZER).select("spec_id", "capacity").collect()]
+    items = packing.sizes(read_table(spark, sf_dir, "documents"), "doc_id", "text", "source", TOKENIZER)
+    return packing.pack(items, specs).withColumnRenamed("id", "doc_id")
+
+
+def p8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packed(spark, sf_dir)
+
+
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(_packed(spark, sf_dir), read_table(spark, sf_dir, "container_specs"))
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spam.judged_pages(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pages(spark, sf_dir).filter("spam").select(F.col("id").alias("doc_id"))
+
+
+def p9_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spam.shape_report(_pages(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in sorted(globals().items()) if name.startswith("p") and name[1:2].isdigit()}
