@@ -7,13 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import encode, neardup, overlap, packing, spam
+from pairloom.llm import defects, encode, formatdup, neardup, overlap, packing, proportions, related, spam
 from pairloom.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 PAIR = ["natural_language", "sql"]
 
 
+#: Shares of the rows in the splits of problem 3.
+RATIOS = {"train": 0.8, "validation": 0.1, "test": 0.1}
+
+
+def _sample(spark: SparkSession, sf_dir: str) -> proportions.ProportionalSample:
+    return proportions.ProportionalSample(read_table(spark, sf_dir, "generated_examples"), read_table(spark, sf_dir, "sampling_targets"), "example_id")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sample(spark, sf_dir).unmet()
+
+
+def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sample(spark, sf_dir).report()
+
+
+def p1_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sample(spark, sf_dir).sample().withColumnRenamed("id", "example_id")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(read_table(spark, sf_dir, "generated_examples"), "example_id", PAIR)
     return found.pairs().select(F.col("id_a").alias("example_id_a"), F.col("id_b").alias("example_id_b"))
@@ -24,6 +44,19 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groups().withColumnRenamed("id", "example_id")
 
 
+def _related(spark: SparkSession, sf_dir: str) -> related.RelatedGroups:
+    rows = related.schema_records(read_table(spark, sf_dir, "seeds"), read_table(spark, sf_dir, "generation_jobs"))
+    return related.RelatedGroups(rows, read_table(spark, sf_dir, "schema_registry"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _related(spark, sf_dir).grouped()
+
+
+def p3_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _related(spark, sf_dir).split(RATIOS)
+
+
 def _overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.split_overlaps(read_table(spark, sf_dir, "seeds"), "seed_id", PAIR, "split", "source")
 
@@ -37,6 +70,28 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.overlap_report(_overlaps(spark, sf_dir))
 
 
+def _defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return defects.flagged(read_table(spark, sf_dir, "generated_examples"), "example_id", "natural_language", "sql")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _defects(spark, sf_dir).withColumnRenamed("id", "example_id")
+
+
+def _collapsed(spark: SparkSession, sf_dir: str) -> formatdup.FormatDuplicates:
+    examples = formatdup.canonical(read_table(spark, sf_dir, "generated_examples"), "generated_examples", "example_id", PAIR)
+    lines = formatdup.parsed_lines(read_table(spark, sf_dir, "raw_lines"), "line_id", "line", {"natural_language": ["natural_language", "nl"], "sql": ["sql"]})
+    return formatdup.FormatDuplicates(examples.unionByName(formatdup.canonical(lines, "raw_lines", "id", PAIR)))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _collapsed(spark, sf_dir).copies()
+
+
+def p6_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _collapsed(spark, sf_dir).counts()
+
+
 #: The tokenizer that problems 7 and 8 name.
 TOKENIZER = "byte_bpe_50k"
 
