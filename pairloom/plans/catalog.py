@@ -5,21 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from pairloom.runtime import read_table
+from pairloom.plans import curation, evaluation, formatting
 
 Query = Callable[[SparkSession, str], DataFrame]
-
-
-def _curation_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    return docs.groupBy("lang").agg(F.count("*").alias("n"))
+MODULES = (curation, formatting, evaluation)
 
 
 def queries() -> dict[str, Query]:
-    return {"curation_by_language": _curation_by_language}
+    return {name: f for m in MODULES for name, f in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for m in MODULES for name, sql in m.SQL.items()}
