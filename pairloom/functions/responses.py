@@ -10,6 +10,12 @@ from pairloom.functions.text import strip
 EXAMPLES = "array<struct<natural_language:string,sql:string,difficulty:string,category:string>>"
 
 
+def is_json(c: Column) -> Column:
+    """Whether the whole text is one JSON value."""
+    listed = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))  # the parser alone would stop after a first value
+    return listed.isNotNull() & F.try_variant_get(listed, "$[0]", "variant").isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull()
+
+
 def unfence(c: Column) -> Column:
     """Without a JSON code fence around the text."""
     return F.regexp_replace(F.regexp_replace(strip(c), r"^```(?:json)?\s*", ""), r"\s*```$", "")
@@ -21,7 +27,7 @@ def quality_score(c: Column) -> Column:
     A bare JSON number scores 3.
     """
     text = unfence(c)
-    is_object = text.startswith("{") & F.get_json_object(text, "$").isNotNull()
+    is_object = text.startswith("{") & is_json(text)
     given = F.get_json_object(text, "$.score").try_cast("double")
     clamped = F.least(F.greatest(F.coalesce(given, F.lit(3.0)), F.lit(1.0)), F.lit(5.0))
     digit = F.regexp_extract(text, r"\b([1-5])\b", 1)
@@ -32,7 +38,7 @@ def quality_score(c: Column) -> Column:
 def judgement(c: Column) -> Column:
     """The judge's struct of score and criteria, or null where the JSON is broken or its score is not 1 to 5."""
     text = F.regexp_replace(F.regexp_replace(strip(unfence(c)), r",\s*\}", "}"), r",\s*\]", "]")
-    whole = F.get_json_object(text, "$").isNotNull() & text.startswith("{")
+    whole = text.startswith("{") & is_json(text)
     score = F.floor(F.get_json_object(text, "$.score").try_cast("double")).cast("int")
     field = lambda n: F.coalesce(F.get_json_object(text, f"$.{n}"), F.lit("")).alias(n)
     made = F.struct(score.alias("score"), *[field(n) for n in ("correctness", "efficiency", "readability", "edge_cases", "overall")])
@@ -44,7 +50,7 @@ def examples(c: Column) -> Column:
     text = unfence(c)
     framed = F.regexp_extract(text, r"(\[[\s\S]*\])", 1)
     body = F.regexp_replace(F.when(framed != "", framed).otherwise(text), r",\s*([}\]])", "$1")
-    whole = F.get_json_object(body, "$").isNotNull()
+    whole = is_json(body)
     listed = F.when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)
     parsed = F.from_json(listed, EXAMPLES)
     pieces = F.regexp_extract_all(body, F.lit(r"(\{[^{}]+\})"), F.lit(1))

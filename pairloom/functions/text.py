@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from pairloom.runtime import col
 
-OUTER_BLANKS = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
+# Fixed value: the characters that count as white space at the ends of a text.
+BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 TOKEN = r"[\p{L}\p{N}_]+"
 UNKNOWN = "__unknown__"
 
@@ -23,7 +24,7 @@ BENCHMARK_PROMPT = (
 
 def strip(c: Column) -> Column:
     """Without white space at either end; null stays null."""
-    return F.regexp_replace(c, OUTER_BLANKS, "")
+    return F.trim(c, F.lit(BLANKS))
 
 
 def value_key(name: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.text import tokens
-from pairloom.runtime import col
+from pairloom.runtime import col, fresh_name
 
 LAYOUTS = ("text", "messages", "conversations", "prompt", "nl", "natural_language")
 
@@ -60,22 +60,25 @@ def length_report(df: DataFrame, count: Column, max_len: int) -> DataFrame:
     return agg.select("n", "n_within", over.alias("n_over"), F.round(F.coalesce(F.try_divide(over * 100.0, F.col("n")), F.lit(0.0)), 2).alias("pct_over"))
 
 
-def chunks(ids: Column, max_len: int, overlap: int = 0, strategy: str = "split") -> Column:
-    """An array of token arrays: the first max_len (truncate), none if longer (drop), or every chunk of max_len.
+def chunked(df: DataFrame, ids: str, max_len: int, overlap: int = 0, strategy: str = "split") -> DataFrame:
+    """df with a row for each chunk: its number (chunk) and its tokens in place of the array column ids.
 
-    Chunks start every max_len - overlap tokens up to the end, so the last ones may lie within the one before.
+    truncate keeps the first max_len tokens, drop only arrays that fit, split every chunk of max_len. Chunks start every
+    max_len - overlap tokens up to the end, so the last ones may lie within the one before. The starts are exploded, not
+    the chunks, so that the array is made once for a row and cut as it leaves.
     """
     if max_len < 1:
         raise ValueError("max_len must be 1 or more")
-    fits = F.size(ids) <= max_len
+    tokens_, start = col(ids), fresh_name(df, "_start")
     if strategy == "truncate":
-        return F.array(F.slice(ids, 1, max_len))
+        return df.withColumn(ids, F.slice(tokens_, 1, max_len)).withColumn("chunk", F.lit(0))
     if strategy == "drop":
-        return F.when(fits, F.array(ids)).otherwise(F.slice(F.array(ids), 1, 0))
+        return df.filter(F.size(tokens_) <= max_len).withColumn("chunk", F.lit(0))
     if strategy == "split":
         step = max(1, max_len - overlap)
-        starts = F.sequence(F.lit(0), F.greatest(F.size(ids) - 1, F.lit(0)), F.lit(step))
-        return F.when(fits, F.array(ids)).otherwise(F.transform(starts, lambda s: F.slice(ids, s + 1, max_len)))
+        last = F.when(F.size(tokens_) <= max_len, F.lit(0)).otherwise(F.size(tokens_) - 1)
+        rows = df.withColumn(start, F.explode(F.sequence(F.lit(0), last, F.lit(step))))
+        return rows.withColumn(ids, F.slice(tokens_, F.col(start) + 1, max_len)).withColumn("chunk", F.floor(F.col(start) / step).cast("int")).drop(start)
     raise ValueError("strategy must be truncate, drop or split")
 
 

@@ -27,10 +27,10 @@ def permuted_rank(df: DataFrame, group: Column, order: Column, seed: int, rank:
     key, part, first = (fresh_name(df, n) for n in ("_hash", "_group", "_bin"))
     keyed = df.withColumn(part, group).withColumn(key, F.coalesce(shuffle_key(seed, order), F.lit("")))
     keyed = keyed.withColumn(first, F.substring(key, 1, BIN_DIGITS))
-    before, all_bins = fresh_name(df, "_before"), Window.partitionBy("g")
-    bins = keyed.groupBy(F.col(part).alias("g"), F.col(first).alias("b")).agg(F.count("*").alias("n"))
-    lower = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.select("g", "b", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias(before), F.sum("n").over(all_bins).alias(size))
-    joined = keyed.join(bins, F.col(part).eqNullSafe(F.col("g")) & (F.col(first) == F.col("b"))).drop("g", "b")
+    before, of, nth, held = (fresh_name(keyed, n) for n in ("_before", "_of", "_nth", "_held"))
+    bins = keyed.groupBy(F.col(part).alias(of), F.col(first).alias(nth)).agg(F.count("*").alias(held))
+    lower = Window.partitionBy(of).orderBy(nth).rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.select(of, nth, F.coalesce(F.sum(held).over(lower), F.lit(0)).alias(before), F.sum(held).over(Window.partitionBy(of)).alias(size))
+    joined = keyed.join(bins, F.col(part).eqNullSafe(F.col(of)) & (F.col(first) == F.col(nth))).drop(of, nth)
     inside = Window.partitionBy(part, first).orderBy(key, order)
     return joined.withColumn(rank, (F.col(before) + F.row_number().over(inside) - 1).cast("bigint")).drop(key, part, first, before)

@@ -155,7 +155,7 @@ ISSUES = f"""list_filter([
 SYNTAX = f"""CASE WHEN {stripped(Q)} = '' THEN 'sqlparse returned empty result'
   WHEN (length({Q}) - length(replace({Q}, '''', ''))) % 2 <> 0 THEN 'SQL has unclosed string literal'
   WHEN regexp_matches({stripped(Q)}, ',[\\s\\p{{Z}}]*;*$') THEN 'SQL ends with a trailing comma' END"""
-KEEP_SCORE = "(score IS NULL OR (NOT isnan(score) AND score >= 3.0))"
+KEEP_SCORE = "(score IS NULL OR (score::VARCHAR <> 'nan' AND score >= 3.0))"
 KEEP_LENGTH = f"(length({NL}) BETWEEN 20 AND 400 AND length({Q}) BETWEEN 20 AND 400)"
 KEEP_VALID = f"(regexp_matches({stripped(Q)}, '^([\\p{{L}}_(;@\\[\"`''0-9*+./-]|--|/\\*)'))"
 KEEP_WORDS = f"(contains(upper({Q}), 'SELECT') AND contains(upper({Q}), 'FROM'))"
@@ -195,7 +195,7 @@ SQL = {
     "heuristic_issues": f"SELECT example_id, array_to_string({ISSUES}, ' | ') AS issues FROM generated_examples WHERE len({ISSUES}) > 0",
     "syntax_issues": f"SELECT example_id, {SYNTAX} AS issue FROM generated_examples WHERE {SYNTAX} IS NOT NULL",
     "quality_counts": f"""SELECT coalesce(category, '') AS category, count(*) AS n, count(*) FILTER (h) AS n_heuristic, count(*) FILTER (s) AS n_syntax,
-        count(*) FILTER (h AND s AND (score IS NULL OR isnan(score) OR score >= 3)) AS n_passed
+        count(*) FILTER (h AND s AND (score IS NULL OR score::VARCHAR = 'nan' OR score >= 3)) AS n_passed
       FROM (SELECT category, score, len({ISSUES}) = 0 AS h, {SYNTAX} IS NULL AS s FROM generated_examples) GROUP BY 1""",
     "numeric_metadata": """SELECT example_id, key, value FROM (SELECT example_id, e.key AS key, try_cast(e.value AS DOUBLE) AS value
       FROM (SELECT example_id, unnest(map_entries(metadata)) AS e FROM generated_examples)) WHERE value IS NOT NULL AND isfinite(value)""",

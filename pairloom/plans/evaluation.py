@@ -179,10 +179,10 @@ ATTEMPTS = """(SELECT example_id, min_by(st, k) AS first_status, min_by(ok, k) A
   FROM (SELECT example_id, attempt, coalesce(status, 'unknown') AS st, coalesce(coalesce(passed, status = 'passed'), false) AS ok,
     lpad(attempt::VARCHAR, 6, '0') || coalesce(status, 'unknown') || coalesce(coalesce(passed, status = 'passed'), false)::INT AS k FROM gate_results WHERE example_id IS NOT NULL) GROUP BY 1)"""
 COMPARED = """(SELECT metric, round(a, 4) AS model_a, round(b, 4) AS model_b, round(b - a, 4) AS delta, b - a > 0 AS improved FROM (SELECT metric, coalesce(x.s, 0.0) AS a, coalesce(y.s, 0.0) AS b
-  FROM (SELECT lower(difficulty) AS metric, avg(score) AS s FROM generated_examples WHERE strategy = 'self_instruct' AND score IS NOT NULL AND NOT isnan(score) AND difficulty IS NOT NULL GROUP BY 1) x
-  FULL JOIN (SELECT lower(difficulty) AS metric, avg(score) AS s FROM generated_examples WHERE strategy = 'evol_instruct' AND score IS NOT NULL AND NOT isnan(score) AND difficulty IS NOT NULL GROUP BY 1) y USING (metric)))"""
-JUDGED = "(SELECT CASE WHEN score IS NULL OR isnan(score) THEN 0 ELSE floor(score)::INT END AS score FROM generated_examples)"
-HISTORY = "(SELECT DISTINCT run_id, metric, step, value FROM metric_history WHERE run_id IS NOT NULL AND metric IS NOT NULL AND step IS NOT NULL AND value IS NOT NULL AND NOT isnan(value))"
+  FROM (SELECT lower(difficulty) AS metric, avg(score) AS s FROM generated_examples WHERE strategy = 'self_instruct' AND score IS NOT NULL AND score::VARCHAR <> 'nan' AND difficulty IS NOT NULL GROUP BY 1) x
+  FULL JOIN (SELECT lower(difficulty) AS metric, avg(score) AS s FROM generated_examples WHERE strategy = 'evol_instruct' AND score IS NOT NULL AND score::VARCHAR <> 'nan' AND difficulty IS NOT NULL GROUP BY 1) y USING (metric)))"""
+JUDGED = "(SELECT CASE WHEN score IS NULL OR score::VARCHAR = 'nan' THEN 0 ELSE floor(score)::INT END AS score FROM generated_examples)"
+HISTORY = "(SELECT DISTINCT run_id, metric, step, value FROM metric_history WHERE run_id IS NOT NULL AND metric IS NOT NULL AND step IS NOT NULL AND value IS NOT NULL AND value::VARCHAR <> 'nan')"
 OVERFIT = f"""(SELECT run_id, step, e AS eval_value, t AS train_value, round(e - t, 6) AS gap, coalesce(e - t > 0.1, false) AS flagged FROM (SELECT run_id, step, e, last_value(t IGNORE NULLS) OVER (PARTITION BY run_id ORDER BY step ROWS UNBOUNDED PRECEDING) AS t
   FROM (SELECT run_id, step, max(value) FILTER (metric = 'train_loss') AS t, max(value) FILTER (metric = 'eval_loss') AS e FROM {HISTORY} WHERE metric IN ('train_loss', 'eval_loss') GROUP BY 1, 2)) WHERE e IS NOT NULL)"""
 PREDICTED = """(SELECT e.category, e.difficulty, coalesce(e.sql, '') AS pred, coalesce(f.target, e.natural_language, '') AS target FROM generated_examples e
@@ -226,7 +226,7 @@ SQL = {
     "gate_targets": "SELECT example_id, natural_language, sql, nullif(metadata['target_sql'], '') AS target_sql FROM generated_examples",
     "gate_annotations": f"""SELECT example_id, (len(list_filter(coalesce(map_keys(metadata), []), lambda x: x NOT IN ('gate_status', 'was_repaired', 'repair_attempts', 'original_sql'))) + 3 + (CASE WHEN attempts > 0 AND sql IS NOT NULL THEN 1 ELSE 0 END))::INT AS n_entries,
       last_status AS gate_status, (attempts > 0)::VARCHAR AS was_repaired, attempts::VARCHAR AS repair_attempts FROM generated_examples JOIN {ATTEMPTS} USING (example_id)""",
-    "metric_history": "SELECT step, CASE WHEN NOT isnan(value) THEN value END AS value FROM metric_history WHERE run_id = (SELECT max(run_id) FROM metric_history) AND metric = 'train_loss'",
+    "metric_history": "SELECT step, CASE WHEN value::VARCHAR <> 'nan' THEN value END AS value FROM metric_history WHERE run_id = (SELECT max(run_id) FROM metric_history) AND metric = 'train_loss'",
     "overfitting": f"SELECT *, bool_or(flagged) OVER (PARTITION BY run_id ORDER BY step ROWS UNBOUNDED PRECEDING) AS ever_flagged FROM {OVERFIT}",
     "training_summary": f"""SELECT run_id, count(*) FILTER (metric = 'train_loss') AS n_train, count(*) FILTER (metric = 'eval_loss') AS n_eval, arg_max(value, step) FILTER (metric = 'train_loss') AS final_train_loss,
       arg_max(value, step) FILTER (metric = 'eval_loss') AS final_eval_loss, coalesce((SELECT bool_or(flagged) FROM {OVERFIT} o WHERE o.run_id = h.run_id), false) AS ever_overfit FROM {HISTORY} h GROUP BY run_id""",

@@ -62,8 +62,7 @@ def token_oversize(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cut(strategy: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = _documents(spark, sf_dir)
-        cut = tokens.chunks(tokens.word_tokens(docs), MAX_TOKENS, OVERLAP, strategy)
-        rows = docs.select("doc_id", F.posexplode(cut).alias("chunk", "ids"))
+        rows = tokens.chunked(docs.select("doc_id", tokens.word_tokens(docs).alias("ids")), "ids", MAX_TOKENS, OVERLAP, strategy)
         return rows.select("doc_id", "chunk", F.size("ids").alias("n_tokens"), F.md5(F.array_join("ids", " ")).alias("digest"))
 
     return run

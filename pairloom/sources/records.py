@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairloom.functions.responses import is_json
 from pairloom.functions.text import strip
 from pairloom.runtime import col
 
 KNOWN = ("natural_language", "sql", "difficulty", "category")
-BROKEN = "_broken"
 
 
 def parsed_seeds(lines: DataFrame, line_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -23,7 +23,7 @@ def parsed_seeds(lines: DataFrame, line_col: str = "value", keep: tuple[str, ...
     stripped, difficulty defaults to medium and category to empty, what else a line holds goes to metadata as text."""
     text = strip(col(line_col))
     fields = F.from_json(text, "map<string,string>")
-    valid = lines.filter((F.coalesce(text, F.lit("")) != "") & text.startswith("{") & F.get_json_object(text, "$").isNotNull())
+    valid = lines.filter((F.coalesce(text, F.lit("")) != "") & text.startswith("{") & is_json(text))
     made = valid.select(*[col(k) for k in keep], fields.alias("f")).filter("f is not null")
     out = made.select(
         *[col(k) for k in keep],
@@ -63,9 +63,9 @@ def read_reports(spark: SparkSession, folder: str) -> DataFrame:
     """(filename, report) of the *.json files of a folder that hold JSON objects, by file name; empty without the folder."""
     if not _exists(spark, folder):
         return spark.createDataFrame([], "filename string, report string")
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder)
-    named = files.select(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("filename"), F.get_json_object("value", "$").alias("report"))
-    return named.filter(F.col("report").startswith("{")).orderBy("filename")
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json")
+    named = files.select(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("filename"), strip(F.col("value")).alias("report"))
+    return named.filter(F.col("report").startswith("{") & is_json(F.col("report"))).orderBy("filename")
 
 
 def report_path(folder: str, name: str) -> Path:
