@@ -253,7 +253,7 @@ def breaks_off(tokens: list[tuple[str, str]], text: str, prompt: list[str]) -> b
             return True
     if not closed and kind in ("word", "number") and not (kind == "number" and kinds[-2:-1] in (["by"], [","])):
         piece = WORDS.findall(last)
-        if piece and piece[-1] not in prompt and last not in KEYWORDS and (kind == "number" or len(piece[-1]) > 1):
+        if piece and piece[-1] not in prompt and last not in KEYWORDS and len(piece[-1]) > 2:
             tail = piece[-1]
             whole = [p for p in prompt if p.startswith(tail) and p != tail]
             if whole and not (kind == "word" and any(p + "s" == q or q + "s" == p for p in whole for q in piece)):

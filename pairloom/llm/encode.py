@@ -22,6 +22,7 @@ def starts(text: str, lo: int, hi: int) -> list[int]:
     """Starts of pre-tokens in [lo, hi), found by scanning from a safe place before lo, or from the start of text.
 
     The match that reaches the end of text is cut short by it, so what follows a match counts only if it ends before.
+    How a run of white space is divided depends on what follows it, so a start right behind white space doesn't count.
     """
     import regex
 
@@ -35,7 +36,7 @@ def starts(text: str, lo: int, hi: int) -> list[int]:
     for m in pattern.finditer(text, safe):
         if m.end() >= hi or m.end() >= len(text):
             break
-        if m.end() >= lo:
+        if m.end() >= lo and not text[m.end() - 1].isspace():
             found.append(m.end())
     return found
 

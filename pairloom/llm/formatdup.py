@@ -51,11 +51,12 @@ def _emit(groups: list[tuple[list, bytes, str]]) -> pa.RecordBatch:
     ids, keep, tables, keys, counts = [], [], [], [], []
     for members, key, table in groups:
         least = min(members)
-        for m in members:
+        head = members.index(least)
+        for k, m in enumerate(members):
             ids.append(m)
             keep.append(least)
             tables.append(table)
-            first = m == least
+            first = k == head
             keys.append(key if first else None)
             counts.append(len(members) if first else None)
     return pa.RecordBatch.from_arrays(
@@ -145,7 +146,11 @@ def parsed_lines(df: DataFrame, id_col: str, line_col: str, fields: dict[str, li
 
 
 class FormatDuplicates:
-    """The collapsed records. Ids are taken to be unique within a table; repeated ids are copies of themselves."""
+    """The collapsed records. Ids are unique within a table; a row repeated whole adds to its record's count.
+
+    Null texts count as empty, so records without any letter or digit are copies of each other; rows with a null id are
+    left out; an empty table gives no groups.
+    """
 
     def __init__(self, records: DataFrame, bucket_bytes: int = BUCKET_BYTES):
         """records (table_name, id, canon) of one or more tables.
@@ -177,5 +182,5 @@ class FormatDuplicates:
         """(table_name, keep_id, copy_id) of each record that is a copy."""
         moved = self.groups.filter("local_keep <> keep_id").select("table_name", "keep_id", F.col("local_keep").alias("copy_id"))
         folded = self.local.filter("id <> local_keep").select("table_name", "local_keep", F.col("id").alias("copy_id"))
-        joined = folded.join(self.groups, ["table_name", "local_keep"]).select("table_name", "keep_id", "copy_id")
+        joined = folded.join(self.groups.select("table_name", "local_keep", "keep_id").distinct(), ["table_name", "local_keep"]).select("table_name", "keep_id", "copy_id")
         return moved.unionByName(joined)

@@ -43,7 +43,7 @@ def expand(links: DataFrame, left: DataFrame, right: DataFrame, keep, within: bo
     """Row pairs of node links. within: pairs of one table, so that equal word sets are pairs as well."""
     a = left.select(F.col("node").alias("a"), F.col("id").alias("id_a"), F.col("fmt").alias("fmt_a"))
     b = right.select(F.col("node").alias("b"), F.col("id").alias("id_b"), F.col("fmt").alias("fmt_b"))
-    rows = links.join(a, "a").join(b, "b").filter(keep)
+    rows = links.join(a, "a").join(b, "b").filter(keep & (F.col("id_a") != F.col("id_b")))
     if within:
         mixed = left.groupBy("node").agg(F.min("fmt").alias("lo"), F.max("fmt").alias("hi")).filter("lo <> hi").select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(1.0).alias("overlap"))
         same = mixed.join(a, "a").join(b, "b").filter((F.col("id_a") < F.col("id_b")) & keep)
@@ -55,8 +55,9 @@ def near_duplicates(df: DataFrame, id_col: str, text_cols: list[str], threshold:
     """Find the records of df whose word overlap reaches the threshold, by rare-first prefix filtering (see wordjoin).
 
     Null texts count as empty; records without any word, or with a null id, have no near-duplicates; repeated rows share
-    one word set and are compared once; other columns of df are never read. An empty table gives empty results.
+    one word set and are compared once; a row never pairs with itself, and rows repeated whole count as one row. Other
+    columns of df are never read. An empty table gives empty results.
     """
     recs = records(df, id_col, text_cols)
     links = materialize(linked_nodes(recs, threshold, rare), "word-links", dictionary=False)
-    return NearDuplicates(recs.select("id", "node", "fmt"), links)
+    return NearDuplicates(recs.select("id", "node", "fmt").distinct(), links)

@@ -30,15 +30,15 @@ def split_overlaps(df: DataFrame, id_col: str, text_cols: list[str], split_col:
 
     A bipartite prefix join: side 0 is training, side 1 is evaluation, and only pairs of the two meet. Equal word sets
     are one key of both sides and need no prefix. Rows with a null or unknown split, a null id or no word have no pairs;
-    null texts count as empty. An empty table gives no pairs.
+    null texts count as empty; rows repeated whole count as one row. An empty table gives no pairs.
     """
     split = split_name(split_col)
     source = col(source_col).cast("string") if source_col else F.lit(None).cast("string")
     placed = df.filter(split.isNotNull())
     recs = records(placed, id_col, text_cols, {"split": split, "source": source, "side": F.when(split == "train", 0).otherwise(1)})
     near = linked_nodes(recs, threshold, rare, bipartite=True)
-    train = recs.filter("side = 0").select(F.col("node").alias("a"), F.col("id").alias("train_id"), F.col("source").alias("train_source"), F.col("fmt").alias("fmt_a"))
-    held = recs.filter("side = 1").select(F.col("node").alias("b"), F.col("id").alias("eval_id"), F.col("split").alias("eval_split"), F.col("source").alias("eval_source"), F.col("fmt").alias("fmt_b"))
+    train = recs.filter("side = 0").select(F.col("node").alias("a"), F.col("id").alias("train_id"), F.col("source").alias("train_source"), F.col("fmt").alias("fmt_a")).distinct()
+    held = recs.filter("side = 1").select(F.col("node").alias("b"), F.col("id").alias("eval_id"), F.col("split").alias("eval_split"), F.col("source").alias("eval_source"), F.col("fmt").alias("fmt_b")).distinct()
     pairs = near.join(train, "a").join(held, "b")
     return materialize(pairs.select("train_id", "eval_id", "eval_split", "train_source", "eval_source", "overlap", (F.col("fmt_a") == F.col("fmt_b")).alias("same_format")), "overlaps")
 

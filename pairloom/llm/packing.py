@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -89,24 +88,28 @@ def best_fit(lengths: list[tuple[int, int]], capacity: int) -> list[tuple[int, i
 
 
 def _packer(specs: list[Spec]):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        window = int(pdf["window"].iloc[0])
-        pdf = pdf.sort_values(["n_tokens", "id"], kind="stable")
-        ids, counts = pdf["id"].tolist(), pdf["n_tokens"].tolist()
-        rows: list[tuple] = []
+    def run(items: pa.Table) -> pa.Table:
+        window = items.column("window")[0].as_py()
+        pairs = sorted(zip(items.column("n_tokens").to_pylist(), map(str, items.column("id").to_pylist()), range(len(items))))
+        ids = items.column("id").take(pa.array([k for _, _, k in pairs]))
+        counts = [n for n, _, _ in pairs]
+        out: list[list[int]] = [[] for _ in range(6)]  # spec, slot, item, piece, start, length
+
+        def place(*row: int) -> None:
+            for column, value in zip(out, row):
+                column.append(value)
+
         for spec in specs:
-            whole, rest = [], []
-            for k, n in enumerate(counts):
-                full = n // spec.capacity
-                whole += [(k, p) for p in range(full)]
-                if n % spec.capacity:
-                    rest.append((k, n % spec.capacity))
-            for box, (k, p) in enumerate(whole):
-                rows.append((spec.spec_id, window, box, ids[k], p, p * spec.capacity, spec.capacity))
+            full = [(k, p) for k, n in enumerate(counts) for p in range(n // spec.capacity)]
+            rest = [(k, n % spec.capacity) for k, n in enumerate(counts) if n % spec.capacity]
+            for box, (k, p) in enumerate(full):
+                place(spec.spec_id, box, k, p, p * spec.capacity, spec.capacity)
             for box, k, length in best_fit(rest, spec.capacity):
                 p = counts[k] // spec.capacity
-                rows.append((spec.spec_id, window, len(whole) + box, ids[k], p, p * spec.capacity, length))
-        return pd.DataFrame(rows, columns=["spec_id", "window", "slot", "id", "piece", "start", "length"])
+                place(spec.spec_id, len(full) + box, k, p, p * spec.capacity, length)
+        spec_id, slot, item, piece, start, length = (pa.array(c, pa.int64()) for c in out)
+        windows = pa.array([window] * len(item), pa.int64())
+        return pa.table({"spec_id": spec_id, "window": windows, "slot": slot, "id": ids.take(item), "piece": piece, "start": start, "length": length})
 
     return run
 
@@ -116,14 +119,14 @@ def pack(items: DataFrame, specs: list[Spec], window_tokens: int = WINDOW_TOKENS
 
     Items (id, source, n_tokens > 0) go to windows by schedule(); a window's items are packed by best fit, longest first.
     An item beyond the capacity is cut into full pieces and a rest; no other item is cut. Every token has one place.
-    Repeated rows are items of their own; an empty table gives no containers. A window holds about window_tokens, at most
+    Repeated rows and rows with a null id are items of their own; an empty table gives no containers. A window holds about window_tokens, at most
     one item more for each source, so a task's memory doesn't grow with the table.
     """
     if not specs or any(s.capacity < 1 for s in specs):
         raise ValueError("capacities must be 1 or more")
     kind = items.schema["id"].dataType.simpleString()
     planned = schedule(items, window_tokens, targets)
-    return planned.select("id", "n_tokens", "window").groupBy("window").applyInPandas(
+    return planned.select("id", "n_tokens", "window").groupBy("window").applyInArrow(
         _packer(specs), f"spec_id bigint, window bigint, slot bigint, id {kind}, piece bigint, start bigint, length bigint"
     )
 

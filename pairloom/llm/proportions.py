@@ -130,7 +130,7 @@ class ProportionalSample:
     def __init__(self, df: DataFrame, targets: DataFrame, id_col: str, difficulty_col: str = "difficulty", category_col: str = "category", seed: int = 42):
         """Counts each cell in one pass (pre-aggregated, at most a row for each pair of labels) and allocates the quotas.
 
-        Null labels count as empty ones, which only a target of any label matches; rows with a null id can't be drawn.
+        Ids are unique. Null labels count as empty ones, which only a target of any label matches; rows with a null id can't be drawn.
         """
         self.seed = seed
         self.rows = df.select(col(id_col).alias("id"), label(difficulty_col).alias("d"), label(category_col).alias("c"))
@@ -175,7 +175,8 @@ class ProportionalSample:
         table = spark.createDataFrame([(*a, quotas[a[3]]) for a in self.assignment if quotas[a[3]] > 0], "d string, c string, plan_id bigint, target_id bigint, quota bigint")
         placed = self.named.filter("id is not null").join(F.broadcast(table), ["d", "c"])  # at most a row for each cell and plan
         placed = placed.withColumn("h", F.xxhash64("id", F.lit(self.seed), "plan_id")).withColumn("bin", F.shiftrightunsigned("h", 52))
-        per_bin = placed.groupBy("target_id", "bin").agg(F.countDistinct("id").alias("n"))
+        placed = placed.distinct()  # an id that is repeated is drawn once
+        per_bin = placed.groupBy("target_id", "bin").agg(F.count("*").alias("n"))
         before = Window.partitionBy("target_id").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
         per_bin = materialize(per_bin.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).select("target_id", "bin", "offset"), "bins")
         inside = Window.partitionBy("target_id", "bin").orderBy("h", "id")

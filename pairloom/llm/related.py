@@ -167,7 +167,8 @@ class RelatedGroups:
 
     def split(self, ratios: dict[str, float]) -> DataFrame:
         """(rec_kind, rec_id, group_id, split) of every row; rows of no group have a null group_id and are placed alone."""
-        rows = self.named.select("rec_kind", "rec_id").join(self.grouped(), ["rec_kind", "rec_id"], "left")
+        node = self.named.select("rec_kind", "rec_id", F.try_element_at("entries", F.lit(1)).alias("node"))
+        rows = node.join(self.roots, "node", "left").select("rec_kind", "rec_id", F.coalesce("root", "node").alias("group_id"))
         key = F.coalesce(F.col("group_id"), F.concat_ws("\x01", F.lit("row"), "rec_kind", F.col("rec_id").cast("string")))
         keyed = materialize(rows.withColumn("key", key), "keyed")
         placed = assign_groups(keyed.groupBy("key").agg(F.count("*").alias("n")), ratios)

@@ -30,9 +30,9 @@ SENTENCE_END = re.compile(r"(?<=[.!?…])\s+|(?<=[。！？])")
 CJK = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
 SEPARATORS = re.compile(r"\s>>\s|\s[|·;/★•–—-]\s|[|·;★•\t]|,\s")
 CODE = re.compile(
-    r"^\s*(?:[-#/*]+.*\s|\w{1,8}:\s+)?(?:select\b.*\bfrom\b|with\s+\w+\s+as\b|insert\s+into\b|update\s+\S+\s+set\b|delete\s+from\b|merge\s+into\b|create\s+(?:table|view|index)\b"
+    r"^\s*(?:[-#/*]+[^\n]{0,200}\s|\w{1,8}:\s+)?(?:select\b.*\bfrom\b|with\s+\w+\s+as\b|insert\s+into\b|update\s+\S+\s+set\b|delete\s+from\b|merge\s+into\b|create\s+(?:table|view|index)\b"
     r"|(?:where|and|on|group\s+by|order\s+by|having|limit|values|join|from|set)\b.*[=<>(\d]|[\"`\w]+\s+(?:integer|int|text|decimal|date|real|varchar|bigint|boolean)\b.*[,)]?\s*$|[)};\]]+;?\s*$)"
-    r"|^\s*[\[{]\s*[\"'{\[]|[{\[(]\s*$|^\s*(?:def|class|import|return|for|while|if)\b.*[:(]\s*|^\s*\w+\s*=\s*\S+|\w+\([^)]*\)\s*[;{]",
+    r"|^\s*[\[{]\s*[\"'{\[]|[{\[(]\s*$|^\s*(?:def|class|import|return|for|while|if)\b.*[:(]\s*|^\s*\w+\s*=\s*\S+|\w+\([^)]{0,300}\)\s*[;{]",
     re.I,
 )
 NUMBER = re.compile(r"[-+]?[\d.,:%eE/-]*\d[\d.,:%]*|:?-+:?|null|nan|true|false", re.I)

@@ -76,7 +76,8 @@ def frequency_classes(recs: DataFrame, bits: int = SKETCH_BITS) -> tuple[np.ndar
     cells = recs.select(F.explode("words").alias("w")).groupBy(F.col("w").bitwiseAND((1 << bits) - 1).cast("int").alias("cell")).agg(F.count("*").alias("n"))
     got = cells.toPandas()
     table = np.zeros(1 << bits, dtype=np.uint8)
-    table[got["cell"].to_numpy()] = np.minimum(255, np.floor(8 * np.log2(got["n"].to_numpy() + 1.0)))
+    if len(got):
+        table[got["cell"].to_numpy()] = np.minimum(255, np.floor(8 * np.log2(got["n"].to_numpy() + 1.0)))
     return table, recs.count()
 
 
