@@ -8,7 +8,9 @@ Two records are linked if their word sets x and y have |x & y| / |x | y| >= thre
 3. Linked x and y share at least o words, and then the first |x| - o + k words of x and |y| - o + k words of y share at
    least k. So they agree on the first k shared words, each within its own prefix. A sequence of prefix words is a join key
    as soon as its expected number of holders is small: one rare word is enough, frequent words are extended to
-   2-grams and 3-grams. Whether a sequence is emitted depends on the sequence alone, so both sides emit the same key.
+   2-grams and more. Words that go together make some keys far more frequent than expected; a second sketch counts the
+   keys so made, and those in hot cells are extended too, round by round. Whether a sequence is emitted depends on the sequence alone,
+   so both sides emit the same key.
 4. The keys are joined once (sort-merge, so that AQE splits a hot key). A key row carries the size, the positions of
    its last word and a parity bitmap of the words behind it, which give the length, positional and suffix filters.
 5. Surviving pairs are made distinct and verified once each against the whole word sets.
@@ -31,12 +33,18 @@ from pairloom.runtime import col, materialize
 SKETCH_BITS = 18
 #: A sequence of words with at most this many expected holders is emitted as a key.
 RARE = 128
-MAX_GRAM = 3
+MAX_GRAM = 5
+#: A cell of the key sketch is hot if it holds more than this and four times the mean.
+HOT = 512
+#: The keys are counted at most so often; each round extends the keys that the last one found hot.
+ROUNDS = 3
 #: Pairs whose larger set has at most TINY words join on single words, as do those beyond LONG, whose n-grams would be too many.
 TINY, LONG = 8, 128
 HASH_BITS = 55
 
-KEY_SCHEMA = "key bigint, node bigint, meta bigint, bits bigint, side int"
+KEY_FIELDS = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("meta", pa.int64()), ("bits", pa.int64()), ("side", pa.int32()), ("cell", pa.int32())])
+KEY_SCHEMA = "key bigint, node bigint, meta bigint, bits bigint, side int, cell int"
+CELL_SHIFT = np.uint64(64 - SKETCH_BITS)
 
 
 @dataclass(frozen=True)
@@ -92,8 +100,14 @@ def _mix(h: np.ndarray, w: np.ndarray) -> np.ndarray:
 class KeyMaker:
     """Turns batches of word sets into key rows. It is sent to the Python workers with the sketch's broadcast."""
 
-    def __init__(self, table, total: int, t: Threshold, rare: int):
-        self.table, self.total, self.t, self.rare = table, max(1, total), t, rare
+    def __init__(self, table, total: int, t: Threshold, rare: int, hot=None):
+        self.table, self.total, self.t, self.rare, self.hot = table, max(1, total), t, rare, hot
+
+    def loads(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many keys of word sequences fall into each cell of the key sketch."""
+        for batch in self(batches):
+            cells, n = np.unique(batch.column("cell").to_numpy(), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(n, pa.int64())], names=["cell", "n"])
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = self.table.value
@@ -140,7 +154,7 @@ class KeyMaker:
             """h: hash of the sequence, r: record, last: flat index of its last word, k: number of words."""
             key = _mix(h, np.full(len(h), regime, dtype=np.uint64)).view(np.int64)
             meta = (size[r] << 34) | ((last - offsets[r]) << 4) | k
-            out.append((key, node[r], meta, (run[last + 1] ^ tail[r]).view(np.int64), side[r]))
+            out.append((key, node[r], meta, (run[last + 1] ^ tail[r]).view(np.int64), side[r], (h >> CELL_SHIFT).astype(np.int32)))
 
         start = np.zeros(len(flat), dtype=np.uint64)
         single = _mix(start, flat)
@@ -151,12 +165,12 @@ class KeyMaker:
         at = np.flatnonzero(grams[rec] & (pos < prefix[rec]))
         self.extend(emit, single[at], freq[at], rec[at], at, 1, flat, freq, offsets, size, prefix)
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["key", "node", "meta", "bits", "side"]).cast(
-                pa.schema([("key", pa.int64()), ("node", pa.int64()), ("meta", pa.int64()), ("bits", pa.int64()), ("side", pa.int32())])
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=KEY_FIELDS.names).cast(KEY_FIELDS)
 
     def extend(self, emit, h, holders, r, last, k, flat, freq, offsets, size, prefix):
         """Emit the sequences that few records hold, and extend the others by each later word of the (k+1)-prefix."""
+        if self.hot is not None:
+            holders = np.maximum(holders, self.hot.value[h >> CELL_SHIFT])
         done = (holders <= self.rare) | (k == MAX_GRAM)
         if done.any():
             emit(1, h[done], r[done], last[done], k)
@@ -175,13 +189,23 @@ def _meta(side: str) -> tuple:
     return F.shiftrightunsigned(m, 34), F.shiftrightunsigned(m, 4).bitwiseAND((1 << 30) - 1), m.bitwiseAND(15)
 
 
-def candidates(recs: DataFrame, t: Threshold, rare: int = RARE, bipartite: bool = False) -> DataFrame:
+def candidates(recs: DataFrame, t: Threshold, rare: int = RARE, bipartite: bool = False, hot: int = HOT) -> DataFrame:
     """Distinct node pairs (a, b) that pass all filters. With bipartite, a is of side 0 and b of side 1, and they may be equal."""
     table, total = frequency_classes(recs)
     spark = recs.sparkSession
     maker = KeyMaker(spark.sparkContext.broadcast(table), total, t, rare)
     source = recs.select("node", "words", F.col("side").cast("int") if bipartite else F.lit(0).alias("side"))
-    keys = source.mapInArrow(maker, KEY_SCHEMA)
+    known = np.zeros(1 << SKETCH_BITS)
+    for _ in range(ROUNDS):
+        loads = source.mapInArrow(maker.loads, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+        counts = np.zeros(1 << SKETCH_BITS)
+        counts[loads["cell"].to_numpy(dtype=np.int64)] = loads["n"].to_numpy(dtype=np.float64)
+        over = np.where(counts > hot + 4 * counts.mean(), counts, 0.0)
+        if not (over > known).any():
+            break
+        known = np.maximum(known, over)
+        maker = KeyMaker(maker.table, total, t, rare, spark.sparkContext.broadcast(known))
+    keys = source.mapInArrow(maker, KEY_SCHEMA).drop("cell")
     keys = keys.repartition("key").groupBy("key", "node", "side", "meta", "bits").count().drop("count")
     a, b = keys.alias("a"), keys.alias("b")
     (sa, pa_, k), (sb, pb, _) = _meta("a"), _meta("b")
@@ -210,8 +234,8 @@ def verified(recs: DataFrame, pairs: DataFrame, t: Threshold) -> DataFrame:
     return met.filter(good).select("a", "b", (F.col("shared") / (F.col("sizes") - F.col("shared"))).alias("overlap"))
 
 
-def linked_nodes(recs: DataFrame, threshold: float, rare: int = RARE, bipartite: bool = False) -> DataFrame:
+def linked_nodes(recs: DataFrame, threshold: float, rare: int = RARE, bipartite: bool = False, hot: int = HOT) -> DataFrame:
     """Node pairs (a, b, overlap) of different word sets whose overlap reaches the threshold (bipartite: equal sets too)."""
     t = Threshold.of(threshold)
-    pairs = materialize(candidates(recs, t, rare, bipartite), "word-pairs", dictionary=False)
+    pairs = materialize(candidates(recs, t, rare, bipartite, hot), "word-pairs", dictionary=False)
     return verified(recs, pairs, t)

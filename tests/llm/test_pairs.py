@@ -46,9 +46,9 @@ def edited(rng, text, vocabulary):
     return out
 
 
-@pytest.mark.parametrize(("seed", "rare"), [(0, 128), (1, 2), (2, 1), (3, 4)])
-def test_pairs_equal_brute_force(spark, seed, rare):
-    """Records of 1 to 300 words; a small `rare` forces 2-grams and 3-grams."""
+@pytest.mark.parametrize(("seed", "rare", "hot"), [(0, 128, 512), (1, 2, 512), (2, 1, 1), (3, 4, 2), (4, 128, 3)])
+def test_pairs_equal_brute_force(spark, seed, rare, hot):
+    """Records of 1 to 300 words; a small `rare` or `hot` forces long n-grams."""
     rng = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(60)]
     rows, k = [], 0
@@ -63,7 +63,7 @@ def test_pairs_equal_brute_force(spark, seed, rare):
     for n in (100, 104, 126, 128, 129, 140, 160):
         rows.append((k, " ".join(big[:n]), None))
         k += 1
-    got = found(spark, rows, rare=rare)
+    got = found(spark, rows, rare=rare, hot=hot)
     assert len(got) == len(set(got)) and set(got) == brute(rows)
 
 
