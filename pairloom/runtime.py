@@ -7,12 +7,15 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_shipped: set[str] = set()
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -32,9 +35,26 @@ def build_session(app: str = "pairloom", cpus: str = "*", partitions: int = 8, m
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors' Python workers, once for an application; they may lack it on their path."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="pairloom-code-")
+    archive = os.path.join(folder, "pairloom.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    context.addPyFile(archive)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: the session's setting, or one of our own where it is unset (tests)."""
     folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
@@ -53,6 +73,7 @@ def materialize(df: DataFrame, name: str, dictionary: bool = True) -> DataFrame:
     The tables of a session go when release() is called or the process ends. dictionary=False suits columns of hashes.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").option("parquet.enable.dictionary", str(dictionary).lower()).parquet(path)
     if not _written:
@@ -78,6 +99,7 @@ def _release_local() -> None:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
