@@ -15,7 +15,7 @@ from pairloom.llm.unionfind import components
 from pairloom.runtime import col, materialize
 
 #: The registry is reference data read by the driver; more entries are refused.
-MAX_ENTRIES = 100_000
+MAX_ENTRIES = 5_000
 #: Groups of at least this share of the rows are placed one by one, largest first: at most its inverse of them exist.
 LARGE_SHARE = 1e-4
 BINS = 1024
@@ -129,6 +129,18 @@ class Resolver:
         return found
 
 
+_resolvers: dict[int, Resolver] = {}
+
+
+def resolver_of(entries: list) -> Resolver:
+    """The resolver of a registry, made once in each worker."""
+    key = hash(repr(entries))
+    if key not in _resolvers:
+        _resolvers.clear()
+        _resolvers[key] = Resolver(entries)
+    return _resolvers[key]
+
+
 def read_registry(registry: DataFrame) -> list[tuple[str, list[str], list[str]]]:
     rows = registry.select("schema_name", "aliases", "table_names").limit(MAX_ENTRIES + 1).collect()
     if len(rows) > MAX_ENTRIES:
@@ -138,11 +150,10 @@ def read_registry(registry: DataFrame) -> list[tuple[str, list[str], list[str]]]
 
 def mentions(records: DataFrame, registry: DataFrame) -> DataFrame:
     """records (rec_kind, rec_id, name) with entries, the array of the registry entries that name means; empty for none."""
-    entries = read_registry(registry)
-    made: dict[int, Resolver] = {}
+    entries = registry.sparkSession.sparkContext.broadcast(read_registry(registry))  # at most MAX_ENTRIES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        resolver = made.setdefault(0, None) or made.setdefault(1, Resolver(entries))
+        resolver = resolver_of(entries.value)
         for batch in batches:
             found = [list(resolver.resolve(t)) for t in batch.column("name").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("rec_kind"), batch.column("rec_id"), pa.array(found, pa.list_(pa.string()))], names=["rec_kind", "rec_id", "entries"])

@@ -63,7 +63,8 @@ def sentence(part: str, words: list[str], cells: int) -> bool:
         return False
     functional = [w for w in words if w in ANY_STOPWORD]
     chain = cells >= 3 and n < 4 * cells
-    if len(functional) < FUNCTION_SHARE * n or len(set(functional)) < (4 if chain else 2):
+    open_end = n < 10 and not part.rstrip().endswith((".", "!", "?", "…", ":", ")"))  # a phrase, unless it is well linked
+    if len(functional) < FUNCTION_SHARE * n or len(set(functional)) < (4 if chain else 3 if open_end else 2):
         return False
     counts = Counter(w for w in words if w not in ANY_STOPWORD)
     again = sum(c for c in counts.values() if c > 1)

@@ -141,7 +141,7 @@ GENUINE = "The loader skips blank lines and counts them as rejected, which surpr
         "\n".join(f"cheap schema designer Place{i}" for i in range(12)), " | ".join(["sql trainer", "best sql trainer", "free sql trainer"] * 12), "\n".join(f"#BestTool{i}" for i in range(20)),
         "\n".join(f'<a href="https://x{i}.example/tool">Place{i} query tool</a>' for i in range(10)), " ".join(f"https://x{i}.example/a?id={i}" for i in range(12)),
         " ".join(f"Looking for sql course? Our sql course is the best sql course in Place{i}." for i in range(8)), GENUINE + "\n\n" + ", ".join(f"report builder Place{i}" for i in range(40)),
-        "\n".join(f"Place{i} mug {i}.50 | tags: base de données pas cher, meilleur, générateur de requêtes" for i in range(8)), "SQL - sql - SELECT - JOIN - dataset - AI - " * 20,
+        "\n".join(f"Place{i} mug {i}.50 | tags: base de données pas cher, meilleur, générateur de requêtes" for i in range(8)), "\n".join(["base de données pas cher", "gratuit base de données pas cher", "formation SQL"] * 8), "SQL - sql - SELECT - JOIN - dataset - AI - " * 20,
     ],
 )
 def test_spam(text):
