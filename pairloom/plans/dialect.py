@@ -15,8 +15,7 @@ def normal_text(x: str) -> str:
     return single_blanks(f"lower({stripped(x)})")
 
 
-def normal_sql(x: str, comments: bool = True) -> str:
+def normal_sql(x: str) -> str:
     text = stripped(f"regexp_replace(lower({stripped(x)}), ';+$', '')")
-    if comments:
-        text = rf"regexp_replace({text}, '(''(?:[^'']|'''')*'')|--[^\n]*|/\*(?:[^*]|\*[^/])*\*/', '\1', 'g')"
-    return stripped(single_blanks(text))
+    bare = rf"regexp_replace({text}, '(''(?:[^'']|'''')*'')|--[^\n]*|/\*(?:[^*]|\*[^/])*\*/', '\1', 'g')"
+    return stripped(single_blanks(bare))

@@ -69,8 +69,7 @@ def _cut(strategy: str):
 
 
 def normalized_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ex = read_table(spark, sf_dir, "generated_examples").filter("sql is not null and not contains(sql, '--') and not contains(sql, '/*')")
-    return ex.select("example_id", text.normalize_sql(F.col("sql")).alias("sql"))
+    return read_table(spark, sf_dir, "generated_examples").select("example_id", text.normalize_sql(F.coalesce("sql", F.lit(""))).alias("sql"))
 
 
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +133,7 @@ SQL = {
     "token_drop": f"SELECT doc_id, 0 AS chunk, len(ids)::INT AS n_tokens, md5(array_to_string(ids, ' ')) AS digest FROM {TOKENS} WHERE len(ids) <= {MAX_TOKENS}",
     "token_split": f"""SELECT doc_id, (s // {MAX_TOKENS - OVERLAP})::INT AS chunk, len(part)::INT AS n_tokens, md5(array_to_string(part, ' ')) AS digest FROM (SELECT doc_id, s, ids[s + 1:s + {MAX_TOKENS}] AS part
       FROM (SELECT doc_id, ids, unnest(CASE WHEN len(ids) <= {MAX_TOKENS} THEN [0] ELSE range(0, len(ids), {MAX_TOKENS - OVERLAP}) END) AS s FROM {TOKENS}))""",
-    "normalized_sql": f"SELECT example_id, {normal_sql('sql', comments=False)} AS sql FROM generated_examples WHERE sql IS NOT NULL AND NOT contains(sql, '--') AND NOT contains(sql, '/*')",
+    "normalized_sql": f"SELECT example_id, {normal_sql(RAW)} AS sql FROM generated_examples",
     "fingerprints": "SELECT example_id, sha256(coalesce(natural_language, '') || chr(0) || coalesce(sql, '')) AS fingerprint FROM generated_examples",
     "slugs": "SELECT p_partkey, regexp_replace(regexp_replace(lower(concat_ws(' / ', p_name, p_brand, p_type)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM part",
     "benchmark_prompts": "SELECT seed_id, 'Convert the following natural language question into a SQL query.' || chr(10) || 'Output ONLY the SQL query, with no explanation or markdown formatting.' || chr(10) || chr(10) || 'Question: ' || coalesce(natural_language, '') || chr(10) || chr(10) || 'SQL:' AS prompt FROM seeds",

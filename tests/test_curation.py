@@ -190,3 +190,26 @@ def test_few_shot_falls_back_to_all(spark):
     assert split.few_shot(df, 3, F.col("id"), "category", category="none").count() == 3
     got = split.few_shot(df, 5, F.col("id"), "difficulty", difficulty="hard")
     assert got.filter("difficulty = 'hard'").count() == 2 and got.count() == 5
+
+
+def test_minhash_pairs_equal_signatures_made_one_by_one(spark):
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(40)]
+    texts = [" ".join(sorted(rng.sample(base, rng.randint(34, 40)))) for _ in range(30)]
+    a, b = dedup.permutations(32, 42)
+    bands, rows_ = dedup.best_bands(0.6, 32)
+
+    def signature(text):
+        hashes = [int(hashlib.md5(w.encode()).hexdigest()[:7], 16) for w in set(text.split())]
+        return [min((h * int(x) + int(y)) % dedup.PRIME for h in hashes) for x, y in zip(a, b)]
+
+    first, want = {}, set()
+    for i, t in enumerate(texts):
+        first.setdefault(frozenset(t.split()), i)
+    sigs = {i: signature(texts[i]) for i in first.values()}
+    for i in sigs:
+        for j in sigs:
+            if i < j and any(sigs[i][k * rows_ : (k + 1) * rows_] == sigs[j][k * rows_ : (k + 1) * rows_] for k in range(bands)):
+                want.add((i, j))
+    df = spark.createDataFrame(list(enumerate(texts)), "pos bigint, text string")
+    assert {tuple(r) for r in dedup.minhash_pairs(df, "text", "pos", 0.6, 32).collect()} == want and want
