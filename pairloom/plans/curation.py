@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pairloom.functions.text import value_key
 from pairloom.operators import balance, dedup, filters, split
 from pairloom.plans.dialect import stripped
-from pairloom.runtime import read_table
+from pairloom.runtime import read_table, spread_table
 
 PAIR = ["natural_language", "sql"]
 TARGETS = {"easy": 0.4, "medium": 0.4, "hard": 0.1, "expert": 0.1}
@@ -35,11 +35,11 @@ def exact_dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.minhash_pairs(read_table(spark, sf_dir, "seeds"), "natural_language", "seed_id")
+    return dedup.minhash_pairs(spread_table(spark, sf_dir, "seeds", ["seed_id", "natural_language"]), "natural_language", "seed_id")
 
 
 def fuzzy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.fuzzy_dedup(read_table(spark, sf_dir, "seeds"), "natural_language", "seed_id").select("seed_id", "natural_language")
+    return dedup.fuzzy_dedup(spread_table(spark, sf_dir, "seeds", ["seed_id", "natural_language"]), "natural_language", "seed_id").select("seed_id", "natural_language")
 
 
 def length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,7 @@ def unsafe_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def heuristic_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     issues = filters.heuristic_issues(F.col("natural_language"), F.col("sql"))
-    return _examples(spark, sf_dir).select("example_id", F.array_join(issues, " | ").alias("issues")).filter("issues <> ''")
+    return spread_table(spark, sf_dir, "generated_examples", ["example_id", *PAIR]).select("example_id", F.array_join(issues, " | ").alias("issues")).filter("issues <> ''")
 
 
 def syntax_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +81,7 @@ def syntax_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = filters.quality(F.col("natural_language"), F.col("sql"), F.when(~F.isnan("score"), F.col("score")))
-    rows = _examples(spark, sf_dir).select(value_key("category").alias("category"), q.alias("q"))
+    rows = spread_table(spark, sf_dir, "generated_examples", [*PAIR, "score", "category"]).select(value_key("category").alias("category"), q.alias("q"))
     return rows.groupBy("category").agg(F.count("*").alias("n"), F.count_if("q.heuristic_ok").alias("n_heuristic"), F.count_if("q.syntax_ok").alias("n_syntax"), F.count_if("q.passed").alias("n_passed"))
 
 

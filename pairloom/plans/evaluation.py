@@ -9,7 +9,7 @@ from pairloom.functions import metrics as M
 from pairloom.operators import gate, report, runs
 from pairloom.operators.filters import disk_kind, quality
 from pairloom.plans.dialect import normal_sql, normal_text, stripped
-from pairloom.runtime import read_table
+from pairloom.runtime import read_table, spread_table
 from pairloom.sources.records import parsed_seeds
 
 NAMES = ["exact_match", "bleu", "rouge1", "rouge2", "rougeL"]
@@ -34,7 +34,8 @@ def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "seeds").select("seed_id", "category", "difficulty", F.coalesce("sql", F.lit("")).alias("pred"), F.coalesce("natural_language", F.lit("")).alias("target"))
+    seeds = spread_table(spark, sf_dir, "seeds", ["seed_id", "category", "difficulty", "sql", "natural_language"])
+    return seeds.select("seed_id", "category", "difficulty", F.coalesce("sql", F.lit("")).alias("pred"), F.coalesce("natural_language", F.lit("")).alias("target"))
 
 
 def exact_matches(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions import chat, responses, text, tokens
 from pairloom.plans.dialect import normal_sql, stripped
-from pairloom.runtime import read_table
+from pairloom.runtime import read_table, spread_table
 
 MAX_TOKENS, OVERLAP = 200, 50
 
@@ -39,7 +39,7 @@ def _rendered(name: str):
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents")
+    return spread_table(spark, sf_dir, "documents", ["doc_id", "text"])
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,6 +103,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
+    """Columns of a table for work that is heavy for each row: a scan of fewer parts than there are cores is spread over them.
+
+    A table of many files is left as it is; the number of parts is known from the plan, without a job.
+    """
+    scan = read_table(spark, sf_dir, name).select(*[col(c) for c in columns])
+    cores = spark.sparkContext.defaultParallelism
+    return scan if scan._jdf.queryExecution().toRdd().getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def col(name: str) -> Column:
     """A column by its plain name, whatever dots or blanks the name holds."""
     return F.col("`" + name.replace("`", "``") + "`")
