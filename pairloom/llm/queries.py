@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import defects, encode, formatdup, neardup, overlap, packing, proportions, related, spam
-from pairloom.runtime import read_table
+from pairloom.runtime import read_table, spread_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 PAIR = ["natural_language", "sql"]
@@ -35,12 +35,12 @@ def p1_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = neardup.near_duplicates(read_table(spark, sf_dir, "generated_examples"), "example_id", PAIR)
+    found = neardup.near_duplicates(spread_table(spark, sf_dir, "generated_examples", ["example_id", *PAIR]), "example_id", PAIR)
     return found.pairs().select(F.col("id_a").alias("example_id_a"), F.col("id_b").alias("example_id_b"))
 
 
 def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = neardup.near_duplicates(read_table(spark, sf_dir, "generated_examples"), "example_id", PAIR)
+    found = neardup.near_duplicates(spread_table(spark, sf_dir, "generated_examples", ["example_id", *PAIR]), "example_id", PAIR)
     return found.groups().withColumnRenamed("id", "example_id")
 
 
@@ -58,7 +58,7 @@ def p3_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return overlap.split_overlaps(read_table(spark, sf_dir, "seeds"), "seed_id", PAIR, "split", "source")
+    return overlap.split_overlaps(spread_table(spark, sf_dir, "seeds", ["seed_id", *PAIR, "split", "source"]), "seed_id", PAIR, "split", "source")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _defects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return defects.flagged(read_table(spark, sf_dir, "generated_examples"), "example_id", "natural_language", "sql")
+    return defects.flagged(spread_table(spark, sf_dir, "generated_examples", ["example_id", *PAIR]), "example_id", "natural_language", "sql")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +79,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _collapsed(spark: SparkSession, sf_dir: str) -> formatdup.FormatDuplicates:
-    examples = formatdup.canonical(read_table(spark, sf_dir, "generated_examples"), "generated_examples", "example_id", PAIR)
+    examples = formatdup.canonical(spread_table(spark, sf_dir, "generated_examples", ["example_id", *PAIR]), "generated_examples", "example_id", PAIR)
     lines = formatdup.parsed_lines(read_table(spark, sf_dir, "raw_lines"), "line_id", "line", {"natural_language": ["natural_language", "nl"], "sql": ["sql"]})
     return formatdup.FormatDuplicates(examples.unionByName(formatdup.canonical(lines, "raw_lines", "id", PAIR)))
 
@@ -97,12 +97,12 @@ TOKENIZER = "byte_bpe_50k"
 
 
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode.encode(read_table(spark, sf_dir, "documents"), "doc_id", "text", TOKENIZER).withColumnRenamed("id", "doc_id")
+    return encode.encode(spread_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text", TOKENIZER).withColumnRenamed("id", "doc_id")
 
 
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = [packing.Spec(r.spec_id, r.capacity) for r in read_table(spark, sf_dir, "container_specs").filter(F.col("tokenizer") == TOKENIZER).select("spec_id", "capacity").collect()]
-    items = packing.sizes(read_table(spark, sf_dir, "documents"), "doc_id", "text", "source", TOKENIZER)
+    items = packing.sizes(spread_table(spark, sf_dir, "documents", ["doc_id", "text", "source"]), "doc_id", "text", "source", TOKENIZER)
     return packing.pack(items, specs).withColumnRenamed("id", "doc_id")
 
 
@@ -115,7 +115,7 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spam.judged_pages(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return spam.judged_pages(spread_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text")
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
