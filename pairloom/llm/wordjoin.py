@@ -31,20 +31,22 @@ from pairloom.llm.texts import format_key, word_hashes
 from pairloom.runtime import col, materialize
 
 SKETCH_BITS = 18
+#: The sketch of keys is smaller: every map task sends one row for each cell that it meets, in each round.
+KEY_BITS = 16
 #: A sequence of words with at most this many expected holders is emitted as a key.
 RARE = 128
 MAX_GRAM = 5
 #: A cell of the key sketch is hot if it holds more than this and four times the mean.
 HOT = 512
 #: The keys are counted at most so often; each round extends the keys that the last one found hot.
-ROUNDS = 3
+ROUNDS = 2
 #: Pairs whose larger set has at most TINY words join on single words, as do those beyond LONG, whose n-grams would be too many.
 TINY, LONG = 8, 128
 HASH_BITS = 55
 
 KEY_FIELDS = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("meta", pa.int64()), ("bits", pa.int64()), ("side", pa.int32()), ("cell", pa.int32())])
 KEY_SCHEMA = "key bigint, node bigint, meta bigint, bits bigint, side int, cell int"
-CELL_SHIFT = np.uint64(64 - SKETCH_BITS)
+CELL_SHIFT = np.uint64(64 - KEY_BITS)
 
 
 @dataclass(frozen=True)
@@ -195,10 +197,10 @@ def candidates(recs: DataFrame, t: Threshold, rare: int = RARE, bipartite: bool
     spark = recs.sparkSession
     maker = KeyMaker(spark.sparkContext.broadcast(table), total, t, rare)
     source = recs.select("node", "words", F.col("side").cast("int") if bipartite else F.lit(0).alias("side"))
-    known = np.zeros(1 << SKETCH_BITS)
+    known = np.zeros(1 << KEY_BITS)
     for _ in range(ROUNDS):
         loads = source.mapInArrow(maker.loads, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-        counts = np.zeros(1 << SKETCH_BITS)
+        counts = np.zeros(1 << KEY_BITS)
         counts[loads["cell"].to_numpy(dtype=np.int64)] = loads["n"].to_numpy(dtype=np.float64)
         over = np.where(counts > hot + 4 * counts.mean(), counts, 0.0)
         if not (over > known).any():
