@@ -22,7 +22,7 @@ REFUSALS = """
 i cannot | i can't | i can not | i won't | i will not be able | i am unable | i'm unable | i am not able | i'm not able | unable to comply
 unable to help | unable to assist | unable to answer | unable to generate | unable to provide | cannot comply | cannot assist | cannot help
 can't help | can't assist | won't answer | must decline | have to decline | i decline | request declined | declined | request denied | refused | refusal
-must pass on | rather not | prefer not to | not appropriate | inappropriate for me | outside what i may | not allowed to | not permitted to
+must pass on | rather not | prefer not to | not appropriate | not be appropriate | n't appropriate | n't be appropriate | inappropriate for me | be inappropriate | outside what i may | not allowed to | not permitted to
 no query can be | no sql can be | no answer can be | isn't possible for me | is not possible for me | not possible to answer | against my guidelines
 against my policy | violates my | as an ai | as a language model | i'm sorry | i am sorry | sorry, but | sorry, i | sorry, the | sorry, it
 my apologies | apologies for | i apologize | i apologise | i don't have enough | i do not have enough | don't have access | i have no access | looks private
@@ -295,7 +295,7 @@ def defect(prompt: str | None, answer: str | None) -> str | None:
         only_text = [w for k, w in tokens if k == "string"]
         if not (len(tokens) <= 8 and only_text and tokens[0][1].lower() == "select" and not any(w.lower() == "from" for k, w in tokens if k == "word")):
             return TRUNCATED if breaks_off(tokens, text, asked) else None
-    lower = text.lower().replace("’", "'").replace("`", "'")
+    lower = text.lower().replace("’", "'").replace("`", "'").replace("''", "'")  # a literal doubles its apostrophes
     if any(True for _ in refusal_automaton().iter(lower)):
         return REFUSAL
     if copied:

@@ -30,6 +30,18 @@ def test_refusals(answer):
     assert D.defect(ASKED, answer) == "refusal"
 
 
+OPENINGS = ["It would not be appropriate for me to answer", "It wouldn't be appropriate for me to answer", "It isn't appropriate for me to answer", "It would be inappropriate to answer", "I must pass on this one", "No query can be given"]
+REASONS = ["the schema has no rated_quota for Aldan", "Aldan may be a person", "the request about Aldan is unclear", "ferry bins looks private"]
+
+
+@pytest.mark.parametrize("wrap", ["{}.", "-- {}", "```\n{}\n```", "/* {} */", "SELECT '{}' AS message;"])
+@pytest.mark.parametrize("opening", OPENINGS)
+@pytest.mark.parametrize("reason", REASONS)
+def test_refusals_by_opening_and_reason(opening, reason, wrap):
+    said = f"{opening}: {reason}"
+    assert D.defect(ASKED, wrap.format(said.replace("'", "''") if wrap.startswith("SELECT") else said)) == "refusal"
+
+
 @pytest.mark.parametrize("wrap", ["{}", "SQL: {}", "Question: {}", "```\n{}\n```", "-- {}", "SELECT '{}' AS answer"])
 def test_copies(wrap):
     assert D.defect(ASKED, wrap.format(ASKED)) == "copied_question"
