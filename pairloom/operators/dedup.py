@@ -84,22 +84,36 @@ def token_hashes(df: DataFrame, text_col: str, order_col: str) -> DataFrame:
     return df.select(col(order_col).cast("bigint").alias("pos"), F.array_sort(F.array_distinct(hashed)).alias("hashes"))
 
 
-def _classes(df: DataFrame, text_col: str, order_col: str) -> tuple[DataFrame, DataFrame]:
-    """Rows with the first position that has the same token set, and the sets of those first rows."""
-    hashed = materialize(token_hashes(df, text_col, order_col), "tokens")
-    first = hashed.groupBy(F.sha2(F.array_join("hashes", ","), 256).alias("k")).agg(F.min("pos").alias("pos"))
-    return first, hashed.join(first.select("pos"), "pos", "left_semi")
+def _classes(df: DataFrame, text_col: str, order_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(k, pos): the first row of each token set; (pos, hashes): the sets of those first rows; (k, pos): the set of every row."""
+    hashed = materialize(token_hashes(df, text_col, order_col).withColumn("k", F.sha2(F.array_join("hashes", ","), 256)), "tokens")
+    first = hashed.groupBy("k").agg(F.min("pos").alias("pos"))
+    return first, hashed.select("pos", "hashes").join(first.select("pos"), "pos", "left_semi"), hashed.select("k", "pos")
 
 
 def minhash_pairs(df: DataFrame, text_col: str, order_col: str, threshold: float = 0.85, num_perm: int = 128, seed: int = 42) -> DataFrame:
     """(pos_a, pos_b): pairs of rows, the earlier first, whose MinHash signatures agree on a whole band.
 
     Rows with one token set are one class, joined by its first row only; a band key meets different sets alone.
+    minhash_links adds the other rows of the classes.
     """
-    _, sets = _classes(df, text_col, order_col)
+    _, sets, _ = _classes(df, text_col, order_col)
     return _band_pairs(sets, threshold, num_perm, seed)
 
 
+def minhash_links(df: DataFrame, text_col: str, order_col: str, threshold: float = 0.85, num_perm: int = 128, seed: int = 42) -> DataFrame:
+    """(pos_a, pos_b, same_tokens): the pairs of minhash_pairs, and every other row of a class with the class's first row.
+
+    Two rows are candidates exactly if their first rows are one row or a pair, so every link of rows follows from the
+    result, and n copies add n - 1 rows to it rather than a row for every two of them.
+    """
+    first, sets, members = _classes(df, text_col, order_col)
+    near = _band_pairs(sets, threshold, num_perm, seed).withColumn("same_tokens", F.lit(False))
+    heads = first.select("k", F.col("pos").alias("pos_a"))
+    same = members.withColumnRenamed("pos", "pos_b").hint("merge").join(heads, "k").filter("pos_a < pos_b")
+    return near.unionByName(same.select("pos_a", "pos_b", F.lit(True).alias("same_tokens")))
+
+
 def _band_pairs(sets: DataFrame, threshold: float, num_perm: int, seed: int) -> DataFrame:
     bands = sets.mapInArrow(_banded(threshold, num_perm, seed), "pos bigint, bands array<string>")
     keys = bands.select("pos", F.posexplode("bands").alias("band", "v")).select("pos", "band", F.md5("v").alias("v"))
@@ -132,7 +146,7 @@ def fuzzy_dedup(df: DataFrame, text_col: str, order_col: str, threshold: float =
     Candidates are rows whose MinHash signatures agree on a band; they aren't verified further. All texts without tokens
     resemble each other, so the first stays; null counts as empty.
     """
-    first, sets = _classes(df, text_col, order_col)
+    first, sets, _ = _classes(df, text_col, order_col)
     gone = greedy_drops(_band_pairs(sets, threshold, num_perm, seed))
     name = fresh_name(df, "_pos")
     stay = first.select("pos").join(gone, "pos", "left_anti").withColumnRenamed("pos", name)

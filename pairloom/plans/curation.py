@@ -35,7 +35,7 @@ def exact_dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.minhash_pairs(spread_table(spark, sf_dir, "seeds", ["seed_id", "natural_language"]), "natural_language", "seed_id")
+    return dedup.minhash_links(spread_table(spark, sf_dir, "seeds", ["seed_id", "natural_language"]), "natural_language", "seed_id")
 
 
 def fuzzy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -213,3 +213,20 @@ def test_minhash_pairs_equal_signatures_made_one_by_one(spark):
                 want.add((i, j))
     df = spark.createDataFrame(list(enumerate(texts)), "pos bigint, text string")
     assert {tuple(r) for r in dedup.minhash_pairs(df, "text", "pos", 0.6, 32).collect()} == want and want
+
+
+def test_minhash_links_hold_every_row_of_a_class(spark):
+    """Copies that differ in case, marks, spacing and word order, of two texts that resemble each other."""
+    base, other = [f"w{i}" for i in range(40)], [*[f"w{i}" for i in range(40)], "more"]
+    shapes = [" ".join, lambda w: ", ".join(w).upper(), lambda w: "  ".join(reversed(w)) + "?"]
+    texts = [f(w) for f in shapes for w in (base, other)] + ["!!", None, "alone here", shapes[0](base)]
+    df = spark.createDataFrame(list(enumerate(texts)), "pos bigint, text string")
+    links = [tuple(r) for r in dedup.minhash_links(df, "text", "pos", 0.7).collect()]
+    assert sorted(links) == [(0, 1, False), (0, 2, True), (0, 4, True), (0, 9, True), (1, 3, True), (1, 5, True), (6, 7, True)]
+    head = {b: a for a, b, same in links if same}
+    near = {(a, b) for a, b, same in links if not same}
+    linked = {(i, j) for i in range(10) for j in range(i + 1, 10) if head.get(i, i) == head.get(j, j) or tuple(sorted((head.get(i, i), head.get(j, j)))) in near}
+    alike = {0, 1, 2, 3, 4, 5, 9}
+    assert linked == {(i, j) for i in alike for j in alike if i < j} | {(6, 7)}
+    copies = spark.createDataFrame([(i, shapes[i % 3](base)) for i in range(300)], "pos bigint, text string")
+    assert dedup.minhash_links(copies, "text", "pos").count() == 299
