@@ -35,11 +35,12 @@ def exact_dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.minhash_links(spread_table(spark, sf_dir, "seeds", ["seed_id", "natural_language"]), "natural_language", "seed_id")
+    return dedup.minhash_links(spread_table(spark, sf_dir, "generated_examples", ["example_id", "natural_language"]), "natural_language", "example_id")
 
 
 def fuzzy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.fuzzy_dedup(spread_table(spark, sf_dir, "seeds", ["seed_id", "natural_language"]), "natural_language", "seed_id").select("seed_id", "natural_language")
+    rows = spread_table(spark, sf_dir, "generated_examples", ["example_id", "natural_language"])
+    return dedup.fuzzy_dedup(rows, "natural_language", "example_id").select("example_id", "natural_language")
 
 
 def length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,15 @@
 import hashlib
+import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from pairloom.operators import balance, dedup, filters, ranking, split
+from pairloom.plans import curation
+
+SMALL = "/root/testdata/sf0.001"
 
 RECORDS = [
     (0, "Show users", "SELECT * FROM users", 4.5, "easy"),
@@ -230,3 +235,24 @@ def test_minhash_links_hold_every_row_of_a_class(spark):
     assert linked == {(i, j) for i in alike for j in alike if i < j} | {(6, 7)}
     copies = spark.createDataFrame([(i, shapes[i % 3](base)) for i in range(300)], "pos bigint, text string")
     assert dedup.minhash_links(copies, "text", "pos").count() == 299
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
+def test_fuzzy_queries_equal_the_sequential_loop_over_generated_examples(spark):
+    rows = sorted((r.example_id, r.natural_language or "") for r in spark.read.parquet(f"{SMALL}/generated_examples.parquet").select("example_id", "natural_language").collect())
+    bands, width = dedup.best_bands(0.85, 128)
+    a, b = dedup.permutations(128, 42)
+    sets, first, index, kept, same, near = {}, {}, {}, [], set(), set()
+    for i, text in rows:
+        key = frozenset(int(hashlib.md5(w.encode()).hexdigest()[:7], 16) for w in re.findall(r"\w+", text.lower()))
+        same |= {(first[key], i)} if first.setdefault(key, i) != i else set()
+        sets.setdefault(key, [min(((h * int(x) + int(y)) % dedup.PRIME for h in key), default=dedup.PRIME) for x, y in zip(a, b)])
+        keys = {(k, *sets[key][k * width : (k + 1) * width]) for k in range(bands)}
+        if not any(k in index for k in keys):
+            kept.append(i)
+            index |= dict.fromkeys(keys, i)
+    for p, i in first.items():
+        near |= {(i, j) for q, j in first.items() if i < j and any(sets[p][k * width : (k + 1) * width] == sets[q][k * width : (k + 1) * width] for k in range(bands))}
+    assert sorted(r.example_id for r in curation.fuzzy_dedup(spark, SMALL).collect()) == kept and len(kept) < len(rows)
+    assert {tuple(r) for r in curation.fuzzy_pairs(spark, SMALL).collect()} == {(*x, True) for x in same} | {(*x, False) for x in near}
+    assert same and near
