@@ -28,6 +28,13 @@ TAG = re.compile(r"</?[a-z][^>]*>", re.I)
 WORD = re.compile(r"[^\W\d]\w*(?:['’]\w+)?")
 SENTENCE_END = re.compile(r"(?<=[.!?…])\s+|(?<=[。！？])")
 CJK = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
+HANGUL, KANA = re.compile(r"[가-힯]"), re.compile(r"[぀-ゟ゠-ヿ]")
+# Function characters of Chinese, of Japanese, and last syllables of Korean words.
+HAN_MARKS = frozenset("的了是在和与與不有这這那为為以对對从從把被将將而也就都及或等会會要能并並其之由们們它我你他")
+KANA_MARKS = frozenset("はがをにでとものてしたるれいますなだへかりくらうよ")
+HANGUL_MARKS = frozenset("은는이가을를에의로와과도다고요며서면한할된")
+CJK_CUT = re.compile(r"[、，,;；|·・•★/／#＃\t\u3000>]+")
+CJK_CUT_BLANK = re.compile(rf"{CJK_CUT.pattern}|\s+")
 SEPARATORS = re.compile(r"\s>>\s|\s[|·;/★•–—-]\s|[|·;★•\t]|,\s")
 CODE = re.compile(
     r"^\s*(?:[-#/*]+[^\n]{0,200}\s|\w{1,8}:\s+)?(?:select\b.*\bfrom\b|with\s+\w+\s+as\b|insert\s+into\b|update\s+\S+\s+set\b|delete\s+from\b|merge\s+into\b|create\s+(?:table|view|index)\b"
@@ -53,11 +60,29 @@ def data_row(line: str) -> bool:
     return len(cells) >= 3 and 2 * sum(NUMBER.fullmatch(c) is not None for c in cells) >= len(cells)
 
 
+def cjk_sentence(part: str) -> bool:
+    """Whether a part in Chinese, Japanese or Korean reads as a sentence: function characters, no runs said again, no chain of short items."""
+    hangul = len(HANGUL.findall(part))
+    chars = CJK.findall(part)
+    grams = ["".join(g) for g in zip(chars, chars[1:], chars[2:], chars[3:])]
+    if len(grams) >= 8 and 2 * len(set(grams)) < len(grams):
+        return False
+    if 2 * hangul >= len(chars):  # blanks part words in Korean, and items in the others
+        ends = [w[-1] for w in WORD.findall(part) if HANGUL.match(w[-1])]
+        found, units, least = [e for e in ends if e in HANGUL_MARKS], len(ends), 0.25
+    else:
+        marks, least = (KANA_MARKS, 0.15) if 8 * len(KANA.findall(part)) >= len(chars) else (HAN_MARKS, 0.04)
+        found, units = [c for c in chars if c in marks], len(chars)
+    items = [i for i in (CJK_CUT if 2 * hangul >= len(chars) else CJK_CUT_BLANK).split(part) if CJK.search(i)]
+    chain = len(items) >= 3 and len(chars) < 8 * len(items)
+    return len(found) >= (2 * least if chain else least) * units and len(set(found)) >= (2 if chain or len(chars) >= 20 else 1)
+
+
 def sentence(part: str, words: list[str], cells: int) -> bool:
     """Whether a part of a line reads as a sentence: function words, few content words said again, no chain of short items."""
     n = len(words)
     cjk = len(CJK.findall(part))
-    if cjk >= 6 and cjk * 2 >= n:
+    if cjk >= 6 and cjk * 2 >= n and cjk_sentence(part):
         return True
     if n < SENTENCE_WORDS:
         return False

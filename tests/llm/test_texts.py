@@ -160,6 +160,31 @@ def test_no_spam(text):
     assert not spam.judge(text)[0]
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "数据库查询、数据库查询、数据库查询、数据库查询\n" * 6, "数据库 查询 模型 训练 下载 教程\n免费下载 优惠 折扣 数据库 软件\n" * 5, "#数据库查询 #模型训练 #数据标注 #免费下载\n" * 6, "数据库查询教程下载\n" * 12,
+        "データベース検索、機械学習、モデル訓練、無料ダウンロード、質問応答\n" * 6, "データベース検索 データベース検索 データベース検索\n" * 6, "無料ダウンロード｜検索モデル｜学習データ｜質問応答｜価格比較\n" * 6,
+        "데이터베이스 쿼리, 모델 학습, 무료 다운로드, 가격 비교, 할인 쿠폰\n" * 6, "무료 다운로드 무료 다운로드 무료 다운로드 무료 다운로드\n" * 6,
+        "数据库查询、数据库查询、数据库查询、数据库查询\n" * 6 + "质量检查是手工完成的，结果也写在报告里。",
+    ],
+)
+def test_spam_in_chinese_japanese_and_korean(text):
+    assert spam.judge(text)[0]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "我们把问题和查询放在一起检查，发现有些答案不对。\n训练数据由人工编写，并且经过两次审核\n" * 3, "問題的答案與資料庫裡的紀錄不一致，所以我們重新寫了這個查詢\n" * 3, "質問と答えを二人で確認し、間違いがあれば書き直します\nデータは手作業で集めたものです。" * 3,
+        "질문은 사람이 직접 작성했고, 답은 두 번 확인했다.\n데이터베이스에서 가져온 결과를 모델의 출력과 비교한다.\n" * 3, "颜色、大小、形状、重量和价格都是在表里的列，也可以从别的表中取出。\n" * 3,
+        "数据库查询、数据库查询、数据库查询、数据库查询\n" + "我们把问题和查询放在一起检查，发现有些答案不对，于是重新写了一遍。\n" * 4,
+    ],
+)
+def test_no_spam_in_chinese_japanese_and_korean(text):
+    assert not spam.judge(text)[0]
+
+
 def test_pages_table(spark):
     df = spark.createDataFrame([(1, "#A #B " * 20_000), (1, "#A #B " * 20_000), (None, None), (3, GENUINE)], "doc_id bigint, text string").withColumn("shape", F.lit(1))
     got = spam.judged_pages(df, "doc_id", "text").collect()
