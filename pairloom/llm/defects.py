@@ -46,6 +46,7 @@ CODE = re.compile(r"\bdb\.\w+\.\w+\(|\.(?:isin|query|loc|groupby|filter|find|agg
 KANA_HAN = re.compile(r"[぀-ヿ㐀-鿿가-힯Ѐ-ӿ؀-ۿ]")
 
 WORDS = re.compile(r"[^\W_]+")
+UNBLANKED = re.compile(r"[぀-ヿ㐀-鿿]|[^\W_぀-ヿ㐀-鿿]+")  # scripts written without blanks count by character
 BLANK = re.compile(r"[\s​‌‍⁠﻿­]+")
 FENCE = re.compile(r"^\s*(?:```|~~~)[ \t]*(?:[A-Za-z]{1,12}(?=\s|$))?|(?:```|~~~)[\s;.]*$")
 VERB = r"(?:select|insert|update|delete|with|merge|create|alter|drop|replace)\b"
@@ -63,6 +64,8 @@ UNFINISHED = frozenset(
 PREDICATE = frozenset("= < > <> <= >= != in like between is exists ilike regexp".split())
 CLAUSE = frozenset("where and or on having when".split())
 KEYWORDS = UNFINISHED | frozenset("asc desc end null true false fetch first last nulls rows only returning matched".split())
+LITERAL = re.compile(r"\s*select\s+'((?:[^']|'')*)'(?:\s+as\s+\w+)?\s*;?\s*", re.I)
+LEADS = frozenset("question sql answer query prompt response".split())
 MIN_RUN = 4
 COVERED = 0.8
 
@@ -280,6 +283,17 @@ def language_vote(words: list[str]) -> tuple[str | None, int]:
     return max(votes.items(), key=lambda x: (x[1], x[0]))
 
 
+def copies(prompt: str, text: str) -> bool:
+    """Whether runs of the prompt cover the text: runs of MIN_RUN words, or of the whole prompt where it is shorter."""
+    asked = [w.lower() for w in UNBLANKED.findall(prompt)]
+    if literal := LITERAL.fullmatch(text):  # a wrapping would outweigh a short prompt
+        text = literal.group(1)
+    words = [w.lower() for w in UNBLANKED.findall(text)]
+    while len(words) > len(asked) and words[0] in LEADS:
+        words.pop(0)
+    return SuffixAutomaton(asked).covered(words, min(MIN_RUN, len(asked))) >= COVERED * len(words)
+
+
 def defect(prompt: str | None, answer: str | None) -> str | None:
     """The defect of an answer, or None. The first that holds of: empty, sound or broken SQL, refusal, copy, other language."""
     if answer is None:
@@ -290,7 +304,7 @@ def defect(prompt: str | None, answer: str | None) -> str | None:
         return EMPTY
     asked = [w.lower() for w in WORDS.findall(prompt or "")]
     tokens = statement(text)
-    copied = SuffixAutomaton(asked).covered(words) >= COVERED * len(words) if asked else False
+    copied = copies(prompt, text) if asked else False
     if tokens is not None and not copied:
         only_text = [w for k, w in tokens if k == "string"]
         if not (len(tokens) <= 8 and only_text and tokens[0][1].lower() == "select" and not any(w.lower() == "from" for k, w in tokens if k == "word")):

@@ -48,6 +48,14 @@ def test_copies(wrap):
     assert D.defect(ASKED, wrap.format(ASKED.lower())) == "copied_question"
 
 
+@pytest.mark.parametrize("wrap", ["{}", "SQL: {}", "Question: {}", "```\n{}\n```", "-- {}", "SELECT '{}' AS answer"])
+@pytest.mark.parametrize("asked", ["Revenue?", "Total sales", "List all depots", "列出净成本超过一千的所有渡轮箱子", "純費用が千を超える箱を表示してください", "Show 渡轮箱子"])
+def test_copies_of_short_and_unblanked_questions(asked, wrap):
+    assert D.defect(asked, wrap.format(asked)) == "copied_question"
+    assert D.defect(asked, SOUND) is None and D.defect(asked, "SELECT revenue FROM depots WHERE total = 3") is None
+    assert D.defect(asked, "db.ferry_bins.find({lead_depot: 1})") == "wrong_language" and D.defect(asked, "从 ferry_bins 表中取出 lead_depot 为 Aldan 的记录。") == "wrong_language"
+
+
 @pytest.mark.parametrize(
     "answer",
     [
