@@ -14,10 +14,11 @@ from pairloom.runtime import materialize
 
 @dataclass
 class NearDuplicates:
-    """classes: id, node, fmt of each record with words; links: a, b, overlap between different word sets."""
+    """classes: id, node, fmt of each record with words; links: a, b, overlap between different word sets; alone: id of each record without words."""
 
     classes: DataFrame
     links: DataFrame
+    alone: DataFrame
 
     def pairs(self) -> DataFrame:
         """Row pairs (id_a < id_b, overlap) that reach the threshold and are not format-equal."""
@@ -25,7 +26,8 @@ class NearDuplicates:
 
     def groups(self) -> DataFrame:
         """One row for each record: class_id (smallest id with the same words), group_id (smallest id that links of
-        records lead to, also through others) and n_links, the number of other word sets linked to its own."""
+        records lead to, also through others) and n_links, the number of other word sets linked to its own. A record
+        without words is a class and a group of its own."""
         ids = self.classes.groupBy("node").agg(F.min("id").alias("class_id"))
         ends = self.links.select("a", "b").unionByName(self.links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         degree = ends.groupBy("a").agg(F.count("*").alias("n_links")).withColumnRenamed("a", "node")
@@ -34,9 +36,10 @@ class NearDuplicates:
         )
         root = components(edge.select("u", "v"))
         named = ids.join(degree, "node", "left").join(root.select(F.col("node").alias("class_id"), "root"), "class_id", "left")
-        return self.classes.select("id", "node").join(named, "node").select(
+        worded = self.classes.select("id", "node").join(named, "node").select(
             "id", "class_id", F.coalesce("root", "class_id").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
         )
+        return worded.unionByName(self.alone.select("id", F.col("id").alias("class_id"), F.col("id").alias("group_id"), F.lit(0).cast("bigint").alias("n_links")))
 
 
 def expand(links: DataFrame, left: DataFrame, right: DataFrame, keep, within: bool) -> DataFrame:
@@ -58,6 +61,7 @@ def near_duplicates(df: DataFrame, id_col: str, text_cols: list[str], threshold:
     one word set and are compared once; a row never pairs with itself, and rows repeated whole count as one row. Other
     columns of df are never read. An empty table gives empty results.
     """
-    recs = records(df, id_col, text_cols)
+    every = records(df, id_col, text_cols, wordless=True)
+    recs = every.filter(F.size("words") > 0)
     links = materialize(linked_nodes(recs, threshold, rare, hot=hot), "word-links", dictionary=False)
-    return NearDuplicates(recs.select("id", "node", "fmt").distinct(), links)
+    return NearDuplicates(recs.select("id", "node", "fmt").distinct(), links, every.filter(F.size("words") == 0).select("id").distinct())

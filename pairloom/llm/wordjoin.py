@@ -62,10 +62,10 @@ class Threshold:
         return cls(f.numerator, f.denominator)
 
 
-def records(df: DataFrame, id_col: str, text_cols: list[str], keep: dict | None = None) -> DataFrame:
+def records(df: DataFrame, id_col: str, text_cols: list[str], keep: dict | None = None, wordless: bool = False) -> DataFrame:
     """id, fmt (hash of the format key), words, node (hash of the word set) and the columns of keep; written once.
 
-    Rows whose id is null or that hold no word have no links and are left out.
+    Rows whose id is null or that hold no word have no links and are left out; wordless keeps the latter.
     """
     base = df.select(
         col(id_col).alias("id"),
@@ -75,7 +75,7 @@ def records(df: DataFrame, id_col: str, text_cols: list[str], keep: dict | None
     )
     # node and the filter come after the table, else the words would be made again for each of them
     table = materialize(base, "records", dictionary=False)
-    return table.withColumn("node", F.xxhash64("words")).filter((F.size("words") > 0) & F.col("id").isNotNull())
+    return table.withColumn("node", F.xxhash64("words")).filter(((F.size("words") > 0) | F.lit(wordless)) & F.col("id").isNotNull())
 
 
 def frequency_classes(recs: DataFrame, bits: int = SKETCH_BITS) -> tuple[np.ndarray, int]:

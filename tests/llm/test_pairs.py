@@ -91,6 +91,13 @@ def test_groups(spark):
     assert {out[i][1] for i in (1, 2, 3, 4, 6)} == {1}
 
 
+def test_groups_keep_records_without_words(spark):
+    rows = [(1, "a b c d e f g h i j", ""), (2, "a b c d e f g h i j k", ""), (3, None, None), (4, "", "  "), (5, "?!", None), (None, None, None)]
+    near = neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA), "example_id", ["natural_language", "sql"])
+    assert sorted(tuple(r) for r in near.groups().collect()) == [(1, 1, 1, 1), (2, 2, 1, 1), (3, 3, 3, 0), (4, 4, 4, 0), (5, 5, 5, 0)]
+    assert [tuple(r)[:2] for r in near.pairs().collect()] == [(1, 2)]
+
+
 def test_clashing_columns(spark):
     rows = [(1, "a b c d e f g h i j", "q", 5, "s"), (2, "a b c d e f g h i k", "q j", 6, "t")]
     df = spark.createDataFrame(rows, "example_id bigint, natural_language string, sql string, id int, node string").withColumn("words", F.lit(1)).withColumn("fmt", F.lit(2)).withColumn("side", F.lit(3))
