@@ -53,24 +53,27 @@ def distance(a: str, b: str, most: int = 2) -> int:
 
 
 class Resolver:
-    """Finds the registry entries that a text names: by name, alias, tables of its DDL, or a name with up to two typing errors."""
+    """Finds the registry entries that a text names: by name, alias, tables of its DDL, a name with up to two typing errors, or an alias with one in its letters."""
 
     def __init__(self, registry: list[tuple[str, list[str], list[str]]]):
         self.exact: dict[str, str] = {}
         self.tables: dict[str, str] = {}
         self.names: dict[str, str] = {}
+        self.aliases: dict[str, str] = {}
         for name, aliases, tables in registry:
             self.names[squeeze(name)] = name
             for a in (name, *(aliases or [])):
                 if squeeze(a):
                     self.exact[squeeze(a)] = name
+            self.aliases |= {squeeze(a): name for a in aliases or [] if squeeze(a)}
             for t in tables or []:
                 self.tables[squeeze(t)] = name
         self.near: dict[str, set[str]] = {}
+        self.near_aliases: dict[str, set[str]] = {}
         self.near_tables: dict[str, set[str]] = {}
-        for index, words in ((self.near, self.names), (self.near_tables, self.tables)):
+        for index, words, most in ((self.near, self.names, 2), (self.near_aliases, self.aliases, 1), (self.near_tables, self.tables, 2)):
             for key in words:
-                for d in deletes(key, 2):
+                for d in deletes(key, most):
                     index.setdefault(d, set()).add(key)
         self.cache: dict[str, tuple[str, ...]] = {}
 
@@ -85,9 +88,18 @@ class Resolver:
             return None
         return words[ranked[0][1]]
 
+    def misspelt_alias(self, key: str) -> str | None:
+        """The only entry with an alias one edit away; the digits, which tell aliases apart, must agree."""
+        if not 5 <= len(key) <= 64:
+            return None
+        digits = re.sub(r"\D", "", key)
+        found = {c for d in deletes(key, 1) for c in self.near_aliases.get(d, ())}
+        hits = {self.aliases[c] for c in found if re.sub(r"\D", "", c) == digits and distance(key, c, 1) == 1}
+        return hits.pop() if len(hits) == 1 else None
+
     def one(self, part: str) -> str | None:
         key = re.sub(r"(?:sql|ddl|json|ya?ml)$", "", squeeze(part)) if "." in part else squeeze(part)
-        return self.exact.get(key) or self.misspelt(key, self.near, self.names)
+        return self.exact.get(key) or self.misspelt(key, self.near, self.names) or self.misspelt_alias(key)
 
     def resolve(self, text: str | None) -> tuple[str, ...]:
         if not text or text.isspace():

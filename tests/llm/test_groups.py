@@ -79,6 +79,19 @@ def test_names_are_resolved(text, names):
     assert list(related.Resolver(REGISTRY).resolve(text)) == names
 
 
+@pytest.mark.parametrize(
+    ("text", "names"),
+    [
+        ("db_hrab01", ["harbour_stock"]), ("DB-HARV01", ["harbour_stock"]), ("db_har01", ["harbour_stock"]), ("har-stoo-7", ["harbour_stock"]), ("db_clim02 and mill_billing", ["clinic_visits", "mill_billing"]),
+        ("db_harb02", []), ("db_harb11", []), ("db_harb0", []), ("har-sto-8", []), ("db_hxyb01", []), ("db_harq01", ["harbour_stock"]),
+    ],
+)
+def test_misspelt_aliases_are_resolved_by_their_letters(text, names):
+    assert list(related.Resolver(REGISTRY).resolve(text)) == names
+    twins = [("a_one", ["db_harb01"], []), ("b_two", ["db_hark01"], [])]
+    assert related.Resolver(twins).resolve("db_harq01") == () and related.Resolver(twins).resolve("db_hark01") == ("b_two",)
+
+
 def groups(spark, rows):
     registry = spark.createDataFrame(REGISTRY, "schema_name string, aliases array<string>, table_names array<string>")
     return related.RelatedGroups(spark.createDataFrame(rows, "rec_kind string, rec_id bigint, name string"), registry)
