@@ -8,15 +8,18 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pairloom.llm.texts import format_key
 from pairloom.runtime import col, materialize
 
-#: Bytes of canonical records that a bucket may hold; a larger bucket is split by a further byte.
+#: Bytes of different canonical records that a bucket may hold; a larger bucket is split by a further byte of the digest.
 BUCKET_BYTES = 32 << 20
 #: A map task folds its records in tries of at most so many bytes.
 LOCAL_BYTES = 32 << 20
 STRIDE = 32
+#: Bytes of a digest that may name a bucket: 256 ** 5 buckets, 3 * 10^19 bytes of different records at BUCKET_BYTES each.
+MAX_DEPTH = 5
 
 
 class Trie:
@@ -145,6 +148,27 @@ def parsed_lines(df: DataFrame, id_col: str, line_col: str, fields: dict[str, li
     return base.mapInArrow(run, ", ".join(["id bigint", *(f"{f} string" for f in fields)]))
 
 
+def bucket_depths(heads: DataFrame, bucket_bytes: int) -> tuple[DataFrame, int]:
+    """(table_name, prefix, depth) and the number of bytes of prefix: how many leading bytes of the digest name a record's bucket.
+
+    heads (table_name, canon, digest). The bytes of the different records below each prefix are summed in one pass; the
+    depth of a record is the least at which its prefix holds at most bucket_bytes, or all bytes of prefix where a single
+    key is larger than that. Digests spread keys evenly, so a byte beyond the depth that the mean needs always suffices.
+    """
+    distinct = heads.groupBy("table_name", "digest").agg(F.first(F.length("canon")).alias("n"))
+    distinct = materialize(distinct.groupBy("table_name", F.substring("digest", 1, 2 * MAX_DEPTH).alias("prefix")).agg(F.sum("n").alias("n")), "prefixes")
+    whole = distinct.groupBy("table_name").agg(F.sum("n").alias("n")).agg(F.max("n")).head()[0] or 0
+    most = 1
+    while most < MAX_DEPTH and bucket_bytes << (8 * (most - 1)) < whole:
+        most += 1
+    sized = distinct.groupBy("table_name", F.substring("prefix", 1, 2 * most).alias("prefix")).agg(F.sum("n").alias("n"))
+    depth = F.lit(most)
+    for d in range(most - 1, 0, -1):
+        below = F.sum("n").over(Window.partitionBy("table_name", F.substring("prefix", 1, 2 * d)))
+        depth = F.when(below <= bucket_bytes, F.lit(d)).otherwise(depth)
+    return sized.select("table_name", "prefix", depth.alias("depth")), most
+
+
 class FormatDuplicates:
     """The collapsed records. Ids are unique within a table; a row repeated whole adds to its record's count.
 
@@ -158,19 +182,18 @@ class FormatDuplicates:
         1. Every map task folds its records in a trie, so that a shuffle carries a key once for each task, however many
            copies it has: a group that holds a third of all rows is spread over all tasks.
         2. The local groups go to radix buckets by the leading bytes of a digest of their canonical bytes (the bytes
-           themselves begin alike, "select", and would need dozens of levels); while a bucket holds more than
-           bucket_bytes, one byte more is used.
+           themselves begin alike, "select", and would need dozens of levels). A bucket whose different records take
+           more than bucket_bytes is split by one byte more, and only such a bucket; see bucket_depths().
         3. Each bucket is counted in a trie over the whole canonical bytes, whose terminals hold smallest id and count.
+           Local groups of one key are streamed through its terminal, so a key that stands in every map task needs no
+           more memory than one that stands in one.
         """
         self.local = materialize(records.mapInArrow(_fold, "table_name string, id bigint, local_keep bigint, canon binary, n_local bigint"), "folded")
         heads = self.local.filter("canon is not null").withColumn("digest", F.md5("canon"))
-        depth = 0
-        while depth < 16:
-            sizes = heads.groupBy("table_name", F.substring("digest", 1, 2 * depth).alias("b")).agg(F.sum(F.length("canon")).alias("n"))
-            if (sizes.agg(F.max("n")).head()[0] or 0) <= bucket_bytes:
-                break
-            depth += 1
-        bucketed = heads.select(F.concat_ws(":", "table_name", F.substring("digest", 1, 2 * max(1, depth))).alias("bucket"), "table_name", "local_keep", "canon", "n_local")
+        depths, most = bucket_depths(heads, bucket_bytes)
+        prefixed = heads.withColumn("prefix", F.substring("digest", 1, 2 * most))
+        joined = prefixed.join(depths, ["table_name", "prefix"])
+        bucketed = joined.select(F.concat_ws(":", "table_name", F.expr("substring(prefix, 1, 2 * depth)")).alias("bucket"), "table_name", "local_keep", "canon", "n_local")
         counted = bucketed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count, "table_name string, local_keep bigint, keep_id bigint, n_copies bigint")
         self.groups = materialize(counted, "counted", dictionary=False)
 

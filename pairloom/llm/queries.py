@@ -34,6 +34,14 @@ def p1_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sample(spark, sf_dir).sample().withColumnRenamed("id", "example_id")
 
 
+def p1_needs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sample(spark, sf_dir).report().drop("drawn")
+
+
+def p1_plan_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sample(spark, sf_dir).plan_sizes()
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(spread_table(spark, sf_dir, "generated_examples", ["example_id", *PAIR]), "example_id", PAIR)
     return found.pairs().select(F.col("id_a").alias("example_id_a"), F.col("id_b").alias("example_id_b"))
@@ -57,6 +65,10 @@ def p3_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _related(spark, sf_dir).split(RATIOS)
 
 
+def p3_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return related.split_checks(_related(spark, sf_dir).split(RATIOS), RATIOS)
+
+
 def _overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.split_overlaps(spread_table(spark, sf_dir, "seeds", ["seed_id", *PAIR, "split", "source"]), "seed_id", PAIR, "split", "source")
 
@@ -100,18 +112,44 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode(spread_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text", TOKENIZER).withColumnRenamed("id", "doc_id")
 
 
-def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    specs = [packing.Spec(r.spec_id, r.capacity) for r in read_table(spark, sf_dir, "container_specs").filter(F.col("tokenizer") == TOKENIZER).select("spec_id", "capacity").collect()]
-    items = packing.sizes(spread_table(spark, sf_dir, "documents", ["doc_id", "text", "source"]), "doc_id", "text", "source", TOKENIZER)
-    return packing.pack(items, specs).withColumnRenamed("id", "doc_id")
+def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.sizes(spread_table(spark, sf_dir, "documents", ["doc_id", "text", "source"]), "doc_id", "text", "source", TOKENIZER)
+
+
+def _specs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "container_specs").filter(F.col("tokenizer") == TOKENIZER).select("spec_id", "capacity")
+
+
+def _packed(items: DataFrame, specs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    return packing.pack(items, [packing.Spec(r.spec_id, r.capacity) for r in specs.collect()], targets=targets)
+
+
+def _even_targets(items: DataFrame) -> DataFrame:
+    """As many tokens of each source as of any other, for as long as it has any."""
+    return items.select("source").distinct().withColumn("share", F.lit(1.0))
 
 
 def p8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _packed(spark, sf_dir)
+    return _packed(_sizes(spark, sf_dir), _specs(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
 def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.report(_packed(spark, sf_dir), read_table(spark, sf_dir, "container_specs"))
+    specs = _specs(spark, sf_dir)
+    return packing.report(_packed(_sizes(spark, sf_dir), specs), specs)
+
+
+def p8_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The invariants of packing to target proportions."""
+    specs, items = _specs(spark, sf_dir), _sizes(spark, sf_dir)
+    return packing.checks(items, _packed(items, specs, _even_targets(items)), specs)
+
+
+def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of each source that have a window, with even targets."""
+    items = _sizes(spark, sf_dir)
+    targets = _even_targets(items)
+    made = packing.mixture(packing.schedule(items, targets=targets), targets)
+    return made.select(F.when(F.col("source") != "\x00", F.col("source")).alias("source"), "n_items")
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:

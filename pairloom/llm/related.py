@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from itertools import combinations
@@ -16,9 +17,8 @@ from pairloom.runtime import col, materialize
 
 #: The registry is reference data read by the driver; more entries are refused.
 MAX_ENTRIES = 5_000
-#: Groups of at least this share of the rows are placed one by one, largest first: at most its inverse of them exist.
-LARGE_SHARE = 1e-4
-BINS = 1024
+#: Groups of one size that a hash bin holds, about.
+BIN_ROWS = 50_000
 
 SPLITTERS = re.compile(r"[,/&+;|\[\](){}\"'`<>\\:.]+|\s+(?:and|und|et|y|or|plus|with)\s+", re.I)
 DDL = re.compile(r"\bcreate\s+(?:or\s+replace\s+)?(?:temp(?:orary)?\s+)?table\s+(?:if\s+not\s+exists\s+)?([^\s(,;]+)", re.I)
@@ -75,11 +75,12 @@ class Resolver:
             for key in words:
                 for d in deletes(key, most):
                     index.setdefault(d, set()).add(key)
+        self.longest = max((len(k) for words in (self.names, self.aliases, self.tables) for k in words), default=0)
         self.cache: dict[str, tuple[str, ...]] = {}
 
     def misspelt(self, key: str, index: dict[str, set[str]], words: dict[str, str]) -> str | None:
         most = 2 if len(key) >= 8 else 1 if len(key) >= 5 else 0
-        if not most or len(key) > 64:
+        if not most or len(key) > self.longest + most:  # no entry is within reach of a longer text
             return None
         found = {c for d in deletes(key, most) for c in index.get(d, ())}
         ranked = sorted((distance(key, c, most), c) for c in found)
@@ -90,7 +91,7 @@ class Resolver:
 
     def misspelt_alias(self, key: str) -> str | None:
         """The only entry with an alias one edit away; the digits, which tell aliases apart, must agree."""
-        if not 5 <= len(key) <= 64:
+        if not 5 <= len(key) <= self.longest + 1:
             return None
         digits = re.sub(r"\D", "", key)
         found = {c for d in deletes(key, 1) for c in self.near_aliases.get(d, ())}
@@ -198,51 +199,86 @@ class RelatedGroups:
         return keyed.join(placed, "key").select("rec_kind", "rec_id", "group_id", "split")
 
 
-def greedy(groups: list[tuple[str, int]], targets: dict[str, float]) -> tuple[dict[str, str], dict[str, float]]:
-    """Largest group first, each to the split furthest below its target."""
-    filled = dict.fromkeys(targets, 0.0)
+def fill(count: int, size: int, lacks: dict[str, float]) -> dict[str, int]:
+    """How many of `count` groups of one size go to each split if each goes to the split that then lacks most.
+
+    The greedy choice takes the largest values of lack - j * size over all splits and j = 0, 1, ...; their number above a
+    level is known in closed form, so the level is found by bisection and the few values at it are taken one by one.
+    """
+    if not count:
+        return dict.fromkeys(lacks, 0)
+    above = lambda level: {s: max(0, math.ceil((lack - level) / size)) for s, lack in lacks.items()}
+    low, high = min(lacks.values()) - count * size - size, max(lacks.values())
+    for _ in range(200):
+        middle = (low + high) / 2
+        if middle in (low, high):
+            break
+        if sum(above(middle).values()) > count:
+            low = middle
+        else:
+            high = middle
+    got = above(high)
+    while (left := count - sum(got.values())) > 0:
+        for s in sorted(lacks, key=lambda s: (got[s] * size - lacks[s], s))[:left]:
+            got[s] += 1
+            break
+    return got
+
+
+def greedy(sizes: list[tuple[int, int]], targets: dict[str, float]) -> dict[int, dict[str, int]]:
+    """For each size, how many of its groups go to each split: largest first, each to the split furthest below its target.
+
+    sizes (n, count): the number of groups of n rows. Groups of one size can stand for each other, so the counts are all
+    that the greedy assignment decides.
+    """
+    lacks = dict(targets)
     out = {}
-    for key, n in sorted(groups, key=lambda g: (-g[1], g[0])):
-        split = max(targets, key=lambda s: (targets[s] - filled[s], s))
-        out[key] = split
-        filled[split] += n
-    return out, filled
+    for n, count in sorted(sizes, reverse=True):
+        out[n] = fill(count, n, lacks)
+        for s, k in out[n].items():
+            lacks[s] -= k * n
+    return out
 
 
 def assign_groups(groups: DataFrame, ratios: dict[str, float]) -> DataFrame:
-    """(key, split) for groups (key, n): sizes near the ratios of all rows, each group whole.
+    """(key, split) for groups (key, n): greedy largest-first, each group whole, to the split furthest below its target.
 
-    Groups of LARGE_SHARE of the rows or more, of which there are at most 1 / LARGE_SHARE, are placed by the driver, largest
-    first. The others, each too small to matter alone, fill what the splits still lack in the order of a hash: running
-    totals over hash bins, then within a bin, decide each one's split, so neither the driver nor a task holds them all.
+    The driver holds how many groups there are of each size, and nothing of a single group: R rows have at most
+    sqrt(2 R) different sizes. It decides how many groups of each size go where. Within a size the groups are ranked in
+    the order of a hash (over bins, then within a bin, so that no task ranks all groups of one row), and consecutive
+    ranks go to the splits by these numbers.
     """
     if not ratios or sum(ratios.values()) <= 0 or min(ratios.values()) < 0:
         raise ValueError("ratios must be positive")
     groups = materialize(groups, "groups")
-    total = groups.agg(F.sum("n")).head()[0] or 0
     spark = groups.sparkSession
+    sizes = [(r["n"], r["k"]) for r in groups.groupBy("n").agg(F.count("*").alias("k")).collect()]
+    total = sum(n * k for n, k in sizes)
+    scale = sum(ratios.values())
+    plan = greedy(sizes, {s: total * r / scale for s, r in ratios.items()})
+    names = list(ratios)
+    uptos = [(n, [sum(counts[s] for s in names[: k + 1]) for k in range(len(names))]) for n, counts in plan.items()]
+    bounds = spark.createDataFrame(uptos, "n bigint, upto array<bigint>")
+    bins = max(1, sum(k for _, k in sizes) // BIN_ROWS)
+    placed = groups.withColumn("h", F.xxhash64("key")).withColumn("bin", F.pmod("h", F.lit(bins)))
+    before = Window.partitionBy("n").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    per_bin = placed.groupBy("n", "bin").agg(F.count("*").alias("held")).withColumn("offset", F.coalesce(F.sum("held").over(before), F.lit(0))).join(bounds, "n")
+    inside = Window.partitionBy("n", "bin").orderBy("h", "key")
+    ranked = placed.join(per_bin.select("n", "bin", "offset", "upto"), ["n", "bin"]).withColumn("rank", F.col("offset") + F.row_number().over(inside))
+    nth = F.size(F.filter("upto", lambda u: u < F.col("rank"))) + 1
+    return ranked.select("key", F.element_at(F.array(*[F.lit(s) for s in names]), nth).alias("split"))
+
+
+def split_checks(split: DataFrame, ratios: dict[str, float], within: float = 0.01) -> DataFrame:
+    """One row: rows placed, groups that lie in more than one split, and splits whose share of the rows is further than
+    `within` from its ratio."""
+    torn = split.filter("group_id is not null").groupBy("group_id").agg(F.countDistinct("split").alias("k")).agg(F.count_if(F.col("k") > 1).alias("n_torn"))
     scale = sum(ratios.values())
-    targets = {s: total * r / scale for s, r in ratios.items()}
-    floor = max(1.0, total * LARGE_SHARE)
-    large = [(r["key"], r["n"]) for r in groups.filter(F.col("n") > floor).collect()]
-    placed, filled = greedy(large, targets)
-    big = spark.createDataFrame(list(placed.items()), "key string, split string")
-    small = groups.filter(F.col("n") <= floor).withColumn("h", F.xxhash64("key")).withColumn("bin", F.pmod("h", F.lit(BINS)))
-    rest = small.agg(F.sum("n")).head()[0] or 0
-    lacks = {s: max(0.0, targets[s] - filled[s]) for s in targets}
-    whole = sum(lacks.values()) or 1.0
-    per_bin = small.groupBy("bin").agg(F.sum("n").alias("bin_n"))
-    before = Window.partitionBy(F.lit(0)).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # at most BINS rows
-    per_bin = per_bin.withColumn("offset", F.coalesce(F.sum("bin_n").over(before), F.lit(0)))
-    inside = Window.partitionBy("bin").orderBy("h", "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    middle = F.col("offset") + F.sum("n").over(inside) - F.col("n") / 2
-    choice, upto = None, 0.0
-    for s in ratios:
-        upto += rest * lacks[s] / whole
-        choice = F.when(middle < upto, F.lit(s)) if choice is None else choice.when(middle < upto, F.lit(s))
-    last = max(lacks, key=lambda s: lacks[s])
-    placed_small = small.join(per_bin, "bin").select("key", choice.otherwise(F.lit(last)).alias("split"))
-    return big.unionByName(placed_small)
+    wanted = split.sparkSession.createDataFrame([(s, r / scale) for s, r in ratios.items()], "split string, ratio double")
+    sizes = wanted.join(split.groupBy("split").agg(F.count("*").alias("n")), "split", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    gaps = sizes.withColumn("n_rows", F.sum("n").over(Window.partitionBy(F.lit(0))))  # a row for each split
+    far = F.abs(F.col("n") - F.col("ratio") * F.col("n_rows")) > F.lit(within) * F.col("n_rows")
+    return gaps.agg(F.max("n_rows").alias("n_rows"), torn.scalar().alias("n_torn"), F.count_if(far).alias("n_far"))
 
 
 def schema_records(seeds: DataFrame, jobs: DataFrame) -> DataFrame:

@@ -124,6 +124,60 @@ def test_splits_are_near_their_ratios(spark):
         related.assign_groups(df, {})
 
 
-def test_greedy_places_the_largest_first():
-    placed, filled = related.greedy([("a", 5), ("b", 70), ("c", 12), ("d", 13)], {"train": 80, "test": 20})
-    assert placed["b"] == "train" and placed["d"] == "test" and sum(filled.values()) == 100
+def one_by_one(sizes, targets):
+    """The greedy assignment, group by group: rows of each split."""
+    filled = dict.fromkeys(targets, 0)
+    for n in sorted(sizes, reverse=True):
+        filled[max(targets, key=lambda s: (targets[s] - filled[s], s))] += n
+    return filled
+
+
+def test_greedy_counts_equal_a_group_by_group_assignment():
+    rng = random.Random(11)
+    for _ in range(200):
+        sizes = [rng.choice([1, 1, 1, 2, 3, 5, 40, 300]) for _ in range(rng.randint(1, 400))]
+        total = sum(sizes)
+        targets = {"train": 0.8 * total, "validation": 0.1 * total, "test": 0.1 * total}
+        plan = related.greedy(list(Counter(sizes).items()), targets)
+        assert all(sum(c.values()) == Counter(sizes)[n] for n, c in plan.items())
+        got = sorted(sum(n * c[s] for n, c in plan.items()) - targets[s] for s in targets)
+        want = sorted(v - targets[s] for s, v in one_by_one(sizes, targets).items())
+        assert got == pytest.approx(want, abs=1e-6)
+    assert related.fill(0, 3, {"a": 1.0}) == {"a": 0} and related.fill(10**9, 1, {"a": 8e8, "b": 2e8}) == {"a": 8 * 10**8, "b": 2 * 10**8}
+
+
+def test_long_names_are_resolved():
+    name = "warehouse_of_all_northern_harbours_and_their_inland_branches_since_the_reform_of_the_customs_service"
+    r = related.Resolver([(name, [], [])])
+    assert len(related.squeeze(name)) > 64
+    assert r.resolve(name.upper()) == r.resolve(name.replace("northern", "norhtern")) == (name,) and r.resolve("x" * 5000) == ()
+
+
+def test_split_checks(spark):
+    rows = [("seed", i, None, "train" if i % 10 < 8 else "validation" if i % 10 == 8 else "test") for i in range(100)] + [("job", 1, "g", "train"), ("job", 2, "g", "test")]
+    df = spark.createDataFrame(rows, "rec_kind string, rec_id bigint, group_id string, split string")
+    ratios = {"train": 0.8, "validation": 0.1, "test": 0.1}
+    assert related.split_checks(df, ratios).collect() == [(102, 1, 0)]
+    assert related.split_checks(df.limit(0), ratios).collect() == [(0, 0, 0)]
+
+
+def test_minimums_are_paid_by_all_in_proportion():
+    T = proportions.Target
+    cells = [T(k, 1, "x", f"c{k}", share, low, 1.0, available=10_000) for k, (share, low) in enumerate([(0.30, 0), (0.28, 0), (0.22, 0), (0.18, 0), (0.02, 200)])]
+    proportions.allocate(cells, 1000)
+    assert [c.taken for c in cells] == [245, 228, 180, 147, 200]
+    over = [T(1, 1, "x", "a", 0.5, 80, 1.0, available=500), T(2, 1, "x", "b", 0.5, 70, 1.0, available=500)]
+    assert [c.taken for c in proportions.allocate(over, 100)] == [80, 70]
+
+
+def test_overlapping_targets_and_mixed_fractions(spark):
+    rows = [(i, "easy" if i % 4 else "hard", "join") for i in range(400)] + [(1, "easy", "join")] * 3
+    targets = [(1, 1, "easy", "join", 0.2, 0, 0.5), (2, 1, None, "join", 0.8, 0, 0.5), (3, 1, "hard", None, 0.5, 0, 0.1), (4, 2, "hard", "cte", 1.0, 1, 0.0)]
+    s = sampled(spark, rows, targets)
+    report = {r.target_id: r for r in s.report().collect()}
+    assert (report[1].matching, report[2].matching, report[3].matching, report[4].short) == (303, 403, 100, 1)
+    assert report[1].sample_size == 201 and report[3].sample_size == 40
+    drawn = s.sample()
+    assert Counter(r.target_id for r in drawn.collect()) == {k: r.drawn for k, r in report.items() if r.drawn}
+    assert [r.target_id for r in s.unmet().collect()] == [4]
+    assert {r.plan_id: r.n_drawn for r in s.plan_sizes().collect()} == {1: report[1].drawn + report[2].drawn + report[3].drawn}

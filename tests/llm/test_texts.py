@@ -116,6 +116,36 @@ def test_targets_set_the_mixture(spark):
     assert {r.source: r.n for r in first} == {"a": 7500, "b": 2500}
 
 
+def test_no_item_is_lost_whatever_the_targets(spark):
+    df, rows = items(spark)
+    for given in ([("hot", 0.9)], [("hot", 3.0), ("s1", 1.0), ("absent", 5.0)], [("s1", None), ("s2", 0.0), ("s3", float("nan")), ("s4", -1.0)], []):
+        targets = spark.createDataFrame(given, "source string, share double")
+        planned = packing.schedule(df, 20_000, targets)
+        assert sorted((r.id, r.n_tokens) for r in planned.collect()) == sorted((i, n) for i, _, n in rows)
+        full = planned.groupBy("window").agg(F.sum("n_tokens").alias("n")).collect()
+        total = sum(n for _, _, n in rows)
+        assert len(full) == -(-total // 20_000) and all(abs(w.n - total / len(full)) < 41 * 900 for w in full)
+
+
+def test_a_dry_source_leaves_its_share_to_the_others(spark):
+    df = spark.createDataFrame([(i, "abc"[i % 3], 10) for i in range(3000)], "id bigint, source string, n_tokens bigint")
+    targets = spark.createDataFrame([("a", 3.0), ("b", 1.0), (None, 1.0), ("c", None)], "source string, share double")
+    got = {(r.window, r.source): r.n for r in packing.schedule(df, 1000, targets).groupBy("window", "source").agg(F.sum("n_tokens").alias("n")).collect()}
+    assert {w for w, _ in got} == set(range(30)) and all(abs(got[w, "a"] - 500) <= 10 and abs(got[w, "b"] - 167) <= 10 for w in range(20))
+    assert all((w, "a") not in got and abs(got[w, "b"] - 333) <= 10 for w in range(20, 25)) and all(got[w, "b"] == 1000 for w in range(25, 30))
+
+
+def test_packing_checks(spark):
+    df, rows = items(spark, n=200)
+    specs = spark.createDataFrame([(1, 64), (2, 1000)], "spec_id bigint, capacity bigint")
+    packed = packing.pack(df, [packing.Spec(1, 64), packing.Spec(2, 1000)], 5000)
+    assert sorted(tuple(r) for r in packing.checks(df, packed, specs).collect()) == [(1, 200, 0, 0, 0), (2, 200, 0, 0, 0)]
+    lost = packing.checks(df, packed.filter("id <> 3"), specs).collect()
+    assert {r.n_items for r in lost} == {199} and all(r.n_tokens_lost == rows[3][2] for r in lost)
+    mix = packing.mixture(packing.schedule(df, 5000), spark.createDataFrame([("hot", 1.0), (None, 3.0)], "source string, share double")).collect()
+    assert sum(r.n_items for r in mix) == 200 and {r.source: r.target for r in mix}["hot"] == 0.25
+
+
 def test_packing_of_nothing_nulls_and_repeats(spark):
     schema = "id bigint, source string, n_tokens bigint"
     specs = [packing.Spec(7, 10)]
@@ -225,6 +255,25 @@ def test_format_copies_fields_tables_repeats(spark):
     assert empty.copies().collect() == [] and empty.counts().collect() == []
 
 
+def test_a_key_in_many_map_tasks_needs_no_depth(spark):
+    df = spark.range(40, numPartitions=40).select(F.col("id"), F.lit("k" * 1000).alias("a"))
+    records = formatdup.canonical(df, "t", "id", ["a"])
+    local = records.mapInArrow(formatdup._fold, "table_name string, id bigint, local_keep bigint, canon binary, n_local bigint")
+    heads = local.withColumn("digest", F.md5("canon"))
+    depths, most = formatdup.bucket_depths(heads, 20_000)
+    assert heads.count() == 40 and most == 1 and [r.depth for r in depths.collect()] == [1]
+    assert [tuple(r) for r in formatdup.FormatDuplicates(records, bucket_bytes=20_000).counts().collect()] == [("t", 0, 40)]
+
+
+def test_only_oversized_buckets_are_split(spark):
+    rows = [("t", f"{k:02x}" + "0" * 30, bytes(50)) for k in range(4)] + [("t", "ff" + f"{k:02x}" + "0" * 28, bytes(50)) for k in range(200)] + [("u", "ff" + "0" * 30, bytes(5000))]
+    heads = spark.createDataFrame(rows, "table_name string, digest string, canon binary")
+    depths, most = formatdup.bucket_depths(heads, 100)
+    got = {(r.table_name, r.prefix): r.depth for r in depths.collect()}
+    assert most == 2 and {d for (t, p), d in got.items() if t == "t" and p[:2] != "ff"} == {1}
+    assert {d for (t, p), d in got.items() if t == "t" and p[:2] == "ff"} == {2} and {d for (t, _), d in got.items() if t == "u"} == {2}
+
+
 def test_parsed_lines(spark):
     lines = ['{"sql": "S", "nl": "q"}', '{"natural_language": null, "nl": "r", "sql": 3}', "[1]", "null", "", None, "{bad", '{"a": 1} x', '{"sql": "\\u00e9"}']
     df = spark.createDataFrame(list(enumerate(lines)), "line_id bigint, line string")
