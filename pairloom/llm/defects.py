@@ -17,33 +17,53 @@ PLACEHOLDERS = frozenset(
     "null none na n/a nan nil empty blank todo tbd tba undefined missing placeholder unknown fixme xxx sql query answer response output text string insert here your query here no answer not available not applicable".split(" ")
 ) | frozenset(["n a", "your query here", "your answer here", "no answer", "no response", "not available", "not applicable", "insert query here", "to do", "coming soon", "write your query here", "sql here", "answer here"])
 
-# Phrases of refusals, lower-cased, with straight apostrophes.
-REFUSALS = """
-i cannot | i can't | i can not | i won't | i will not be able | i am unable | i'm unable | i am not able | i'm not able | unable to comply
-unable to help | unable to assist | unable to answer | unable to generate | unable to provide | cannot comply | cannot assist | cannot help
-can't help | can't assist | won't answer | must decline | have to decline | i decline | request declined | declined | request denied | refused | refusal
-must pass on | rather not | prefer not to | not appropriate | not be appropriate | n't appropriate | n't be appropriate | inappropriate for me | be inappropriate | outside what i may | not allowed to | not permitted to
-no query can be | no sql can be | no answer can be | isn't possible for me | is not possible for me | not possible to answer | against my guidelines
-against my policy | violates my | as an ai | as a language model | i'm sorry | i am sorry | sorry, but | sorry, i | sorry, the | sorry, it
-my apologies | apologies for | i apologize | i apologise | i don't have enough | i do not have enough | don't have access | i have no access | looks private
-not comfortable | i refuse | i must refuse | can't do that | cannot do that | can't answer | cannot answer | can't provide | cannot provide
-lo siento | no puedo | no me es posible | je ne peux pas | je suis désolé | désolé, | es tut mir leid | ich kann nicht | ich kann das nicht | leider kann ich
-não posso | desculpe | mi dispiace | non posso | nie mogę | przykro mi | 申し訳 | できません | 抱歉 | 对不起 | 无法
-"""
-
-# Function words and verbs that vote for a language other than SQL.
+# The parts of English refusals, lower-cased, with straight apostrophes; refusal_phrases() joins them.
+SELVES = "i | we | this assistant".split(" | ")
+UNABLE = """cannot | can't | can not | could not | couldn't | won't | will not | am unable | are unable | 'm unable | 're unable | am not able | are not able | 'm not able | must decline | have to decline
+decline | respectfully decline | refuse | must refuse | have to refuse | must pass | have to pass | 'll pass | will pass | don't have access | do not have access | don't have enough | do not have enough
+have no access | 'd rather not | would rather not | 'd prefer not | would prefer not | prefer not | am sorry | 'm sorry | apologize | apologise | am not allowed | 'm not allowed | am not permitted | 'm not permitted"""
+HINDERED = "cannot | can't | can not | won't | will not | unable to | not able to | not allowed to | not permitted to | not willing to | unwilling to | refuse to | prefer not to | rather not | impossible to | not possible to".split(" | ")
+ACTS = "help | assist | answer | provide | generate | produce | write | give | comply | create | do that | do this | fulfil | complete this | process this | share | turn | translate | respond | proceed | continue".split(" | ")
+RULES = [f"{how} {whose} {what}" for how in ("against", "violates", "violate", "outside", "breaks", "contrary to") for whose in ("my", "our", "the") for what in ("guidelines", "guideline", "policy", "policies", "rules", "instructions", "principles", "scope")]
+NOTHING = [f"no {what} {state}" for what in ("query", "sql", "answer", "statement", "response") for state in ("can be", "could be", "will be", "is possible")]
+WHOLE = """sorry, | sorry but | so sorry | my apologies | apologies for | apologies, | outside what i may | outside what i can | outside of what i | unable to comply | request declined | declined | request denied | access denied | refused | refusal
+as an ai | as a language model | as an assistant | not appropriate | not be appropriate | n't appropriate | n't be appropriate | be inappropriate | is inappropriate | inappropriate for me | isn't possible for me | is not possible for me | unfortunately i | unfortunately, i | not comfortable"""
+# Phrases of refusals in other languages.
+FOREIGN = """lo siento | no puedo | no me es posible | je ne peux pas | je suis désolé | désolé, | es tut mir leid | ich kann nicht | ich kann das nicht | leider kann ich | não posso | desculpe | mi dispiace | non posso
+nie mogę | przykro mi | het spijt me | ik kan niet | jag kan inte | tyvärr kan | не могу | к сожалению | извините | 申し訳 | できません | 抱歉 | 对不起 | 无法 | 죄송"""
+
+# Everyday function words (articles, pronouns, prepositions, conjunctions, auxiliaries) of languages in Latin script,
+# as any grammar lists them; words of SQL vote for SQL, whatever else they are.
 VOTES = {
-    "de": "der die das den dem und oder aus alle zeilen denen nimm zeige wähle sortiere nach wo mit nur für ist in gesuchten einträge stehen sie an".split(),
-    "fr": "le la les des et ou dans où faut lire garder lignes puis afficher quand dépasse sélectionner depuis avec pour est il".split(),
-    "es": "el la los las y o de con que hay leer quedarse filas cuyo sea mayor seleccionar donde entre primero se filtra por después muestra sin".split(),
-    "pt": "o a os as e ou em com que basta procurar linhas entre selecionar onde de uma para".split(),
-    "pl": "z i w na tabeli wybierz wiersze gdzie to albo oraz przekracza a".split(),
-    "it": "il lo gli e o di con che righe tabella seleziona dove per sono della".split(),
-    "en": "the a an of to you should then read take rows where each which that with from for it is are".split(),
+    "en": "the a an of to for at that this these those it its which who whose whom each every you your we our they their he she i should would could can will must may be been are was were has have had do does if than so just only then there here".split(),
+    "de": "der die das den dem des ein eine einen einem einer und oder aber nicht kein keine mit von vom zu zum zur im ist sind war wird werden aus auf für bei nach vor über unter wie wenn weil dass sich sie wir man nur noch auch so hat haben alle wo welche deren dessen mindestens zwischen".split(),
+    "fr": "le la les un une des du de et ou mais ne pas avec sans pour par sur dans est sont était au aux ce cette ces qui que quand dont où il elle on nous vous leur se sa son ses plus puis depuis entre chaque tous toutes faut".split(),
+    "es": "el la los las un una unos unas y o pero no con sin por para en es son era de del al que se su sus lo como cuando donde porque más este esta cuyo cuya hay entre cada desde hasta todos todas después".split(),
+    "pt": "o a os as um uma uns umas e ou mas não com sem por para em é são era de do da dos das no na nos nas ao que se seu sua como quando onde porque mais este esta cujo cuja entre cada desde até todos todas".split(),
+    "it": "il lo la i gli le un una uno e o ma non con senza per di del della dei delle da dal che si suo sua come quando dove perché più questo questa cui tra ogni è sono nel nella tutti".split(),
+    "nl": "de het een en of maar niet geen met zonder van voor op te aan bij uit naar is zijn was wordt worden dat die deze dit wie wat waar als dan ook nog alle elke er je wij ze hun tussen".split(),
+    "pl": "i w z na do od po za o u a lub albo oraz ale nie jest są był dla przez przy przed nad pod jak gdy gdzie który która które których to ten ta te się tylko każdy wszystkie między".split(),
+    "sv": "en ett den det de och eller men inte med utan av för på till från är var som att där när om sig sin vi ni han hon alla varje mellan".split(),
+    "cs": "a i nebo ale ne s se si z ze do od po na v ve k ke pro při před nad pod je jsou byl jak kde když který která které to ten ta jen každý všechny mezi".split(),
+    "tr": "bir ve veya ama ile için bu şu o da de ki mi ne gibi daha çok olan olarak her kadar sonra önce arasında tüm".split(),
 }
-VOTE = {w: [lang for lang, words in VOTES.items() if w in words] for w in {w for words in VOTES.values() for w in words}}
-CODE = re.compile(r"\bdb\.\w+\.\w+\(|\.(?:isin|query|loc|groupby|filter|find|aggregate|select|where)\s*[\(\[]|\bimport\s+\w+|\bdef\s+\w+\(|=>|\bMATCH\s*\(|\breturn\s+\w+;|<-\s*\w+|%>%|\w+\[\(|\bfor\s+\w+\s+in\b", re.I)
-KANA_HAN = re.compile(r"[぀-ヿ㐀-鿿가-힯Ѐ-ӿ؀-ۿ]")
+SQL_WORDS = frozenset(
+    "select from where and or not in between like is null on join inner left right full cross outer by group order having set values into insert update delete union all intersect except as with case when then else end over partition limit offset distinct exists using merge any asc desc count sum avg min max".split()
+)
+VOTE: dict[str, list[str]] = {}
+for _lang, _words in VOTES.items():
+    for _w in _words:
+        if _w not in SQL_WORDS:
+            VOTE.setdefault(_w, []).append(_lang)
+#: Traces of programming and query languages: calls on objects, arrows, pipes, definitions, filters in brackets, variables.
+CODE = re.compile(
+    r"\b\w+(?:\.\w+)+\s*\(|=>|->|<-|%>%|\|>|::|\+=|==|&&|\|\||\$\w+|\?\w+\s+\w*:\w+|\b\w+\[[^\]]*[<>=(]|\{\s*[\"']?\$?\w+[\"']?\s*:|\bimport\s+\w+|\bdef\s+\w+\s*\(|\bfunction\b|\blambda\b|\bMATCH\s*\(|\breturn\b|\bfor\s+\w+\s+in\b"
+    r"|\bvar\s+\w+|\blet\s+\w+|\bconst\s+\w+|\bprint\w*\s*\(|^\s*\w+\s*=\s*\S|^\s*\w+\s*\|\s*\w+\s|\bPREFIX\s+\w*:|#include|<\?php|</?\w+[^<>]*>",
+    re.I | re.M,
+)
+LETTER = re.compile(r"[^\W\d_]")
+OTHER_SCRIPT = re.compile(r"[\u0370-\u1dff\u2c00-\ua6ff\ua800-\ud7ff\uf900-\ufdff\ufe70-\uffee]")  # letters beyond the Latin ones
+QUOTED = re.compile(r"'(?:[^']|'')*'|\"[^\"]*\"")
 
 WORDS = re.compile(r"[^\W_]+")
 UNBLANKED = re.compile(r"[぀-ヿ㐀-鿿]|[^\W_぀-ヿ㐀-鿿]+")  # scripts written without blanks count by character
@@ -72,6 +92,12 @@ COVERED = 0.8
 _refusals = None
 
 
+def refusal_phrases() -> set[str]:
+    parts = lambda text: [x.strip() for x in re.split(r"[|\n]", text) if x.strip()]
+    joined = [who + ("" if what[0] == "'" else " ") + what for who in SELVES for what in parts(UNABLE)]
+    return {*joined, *(f"{no} {act}" for no in HINDERED for act in ACTS), *RULES, *NOTHING, *parts(WHOLE), *parts(FOREIGN)}
+
+
 def refusal_automaton():
     """An Aho-Corasick automaton of the phrases, made once in each worker."""
     global _refusals
@@ -79,9 +105,8 @@ def refusal_automaton():
         import ahocorasick
 
         _refusals = ahocorasick.Automaton()
-        for phrase in re.split(r"[|\n]", REFUSALS):
-            if phrase := phrase.strip():
-                _refusals.add_word(phrase, phrase)
+        for phrase in refusal_phrases():
+            _refusals.add_word(phrase, phrase)
         _refusals.make_automaton()
     return _refusals
 
@@ -208,7 +233,7 @@ def breaks_off(tokens: list[tuple[str, str]], text: str, prompt: list[str]) -> b
                 stack.pop()
     if stack:
         return True
-    body = [(k, re.sub(r"\s", "", w.lower())) for k, w in tokens]
+    body = [(k, "".join(w.split()) if k == "op" else w.lower()) for k, w in tokens]
     while body and body[-1][1] == ";":
         body.pop()
     closed = tokens[-1][1] == ";"
@@ -273,36 +298,58 @@ def depth_zero(kinds: list[str], verbs: tuple[str, ...]) -> bool:
     return False
 
 
-def language_vote(words: list[str]) -> tuple[str | None, int]:
+def other_language(text: str, words: list[str]) -> str | None:
+    """The kind of language other than SQL that a text without a statement is in: script, code, or a language's name; else None.
+
+    A fifth of the letters in another script, or a trace of code, decides. Otherwise each function word votes for its
+    languages and each word of SQL for SQL, names in quotes left out: the language with the most votes wins if it has
+    two different words at least and more votes than SQL. A text of which none of this holds is in no language known.
+    """
+    letters = len(LETTER.findall(text))
+    if letters and 5 * len(OTHER_SCRIPT.findall(text)) >= letters:
+        return "script"
+    if CODE.search(QUOTED.sub("''", text)):
+        return "code"
+    said = WORDS.findall(QUOTED.sub(" ", text.lower())) if "'" in text or '"' in text else words
     votes: dict[str, int] = {}
-    for w in words:
+    kinds: dict[str, set[str]] = {}
+    sql = 0
+    for w in said:
+        sql += w in SQL_WORDS
         for lang in VOTE.get(w, ()):
             votes[lang] = votes.get(lang, 0) + 1
-    if not votes:
-        return None, 0
-    return max(votes.items(), key=lambda x: (x[1], x[0]))
+            kinds.setdefault(lang, set()).add(w)
+    best = max(votes, key=lambda lang: (votes[lang], len(kinds[lang]), lang), default=None)
+    return best if best and len(kinds[best]) >= 2 and votes[best] > sql else None
 
 
 def copies(prompt: str, text: str) -> bool:
     """Whether runs of the prompt cover the text: runs of MIN_RUN words, or of the whole prompt where it is shorter."""
-    asked = [w.lower() for w in UNBLANKED.findall(prompt)]
+    asked = UNBLANKED.findall(prompt.lower())
     if literal := LITERAL.fullmatch(text):  # a wrapping would outweigh a short prompt
         text = literal.group(1)
-    words = [w.lower() for w in UNBLANKED.findall(text)]
+    words = UNBLANKED.findall(text.lower())
     while len(words) > len(asked) and words[0] in LEADS:
         words.pop(0)
+    known = set(asked)
+    if sum(w in known for w in words) < COVERED * len(words):  # no run holds a word that the prompt lacks
+        return False
     return SuffixAutomaton(asked).covered(words, min(MIN_RUN, len(asked))) >= COVERED * len(words)
 
 
 def defect(prompt: str | None, answer: str | None) -> str | None:
-    """The defect of an answer, or None. The first that holds of: empty, sound or broken SQL, refusal, copy, other language."""
+    """The defect of an answer, or None. The first that holds of: empty, sound or broken SQL, refusal, copy, other language.
+
+    An answer that is no statement and of which none of these can be told, such as a lone name or number, has no defect
+    that this operator names.
+    """
     if answer is None:
         return EMPTY
     text = unwrap(BLANK.sub(" ", answer) if not answer.strip() else answer)
-    words = [w.lower() for w in WORDS.findall(text)]
+    words = WORDS.findall(text.lower())
     if not words or (len(words) <= 5 and (" ".join(words) in PLACEHOLDERS)):
         return EMPTY
-    asked = [w.lower() for w in WORDS.findall(prompt or "")]
+    asked = WORDS.findall(prompt.lower()) if prompt else []
     tokens = statement(text)
     copied = copies(prompt, text) if asked else False
     if tokens is not None and not copied:
@@ -316,12 +363,10 @@ def defect(prompt: str | None, answer: str | None) -> str | None:
         return COPIED
     if tokens is not None:
         return None
-    rest = [t for t in lex(text) if t[0] not in ("comment",)]
-    if not any(k in ("word", "number", "string", "open_string") for k, _ in rest):
-        return EMPTY if not language_vote(words)[1] >= 3 else LANGUAGE
-    if KANA_HAN.search(text) or CODE.search(text) or language_vote(words)[1] >= 2 or len(words) >= 3:
+    if other_language(text, words):
         return LANGUAGE
-    return EMPTY if " ".join(words) in PLACEHOLDERS else LANGUAGE
+    said = any(k in ("word", "number", "string", "open_string") for k, _ in lex(text) if k != "comment")
+    return None if said else EMPTY
 
 
 def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +379,7 @@ def flagged(df: DataFrame, id_col: str, prompt_col: str, answer_col: str) -> Dat
     """(id, defect_type) of each row of df whose answer has a defect; at most one for a row.
 
     A null answer is empty; a null or blank prompt is no defect and copies nothing; repeated rows are flagged each; rows
-    are judged alone in one pass without a shuffle, whole texts of any length.
+    are judged alone in one pass without a shuffle, whole texts of any length. Other columns are never read.
     """
     base = df.select(col(id_col).alias("id"), col(prompt_col).cast("string").alias("prompt"), col(answer_col).cast("string").alias("answer"))
     return base.mapInArrow(_run, f"id {base.schema['id'].dataType.simpleString()}, defect_type string").filter("defect_type is not null")
