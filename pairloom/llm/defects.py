@@ -67,6 +67,7 @@ QUOTED = re.compile(r"'(?:[^']|'')*'|\"[^\"]*\"")
 
 WORDS = re.compile(r"[^\W_]+")
 UNBLANKED = re.compile(r"[぀-ヿ㐀-鿿]|[^\W_぀-ヿ㐀-鿿]+")  # scripts written without blanks count by character
+UNBLANKED_CHAR = re.compile(r"[぀-ヿ㐀-鿿]")
 BLANK = re.compile(r"[\s​‌‍⁠﻿­]+")
 FENCE = re.compile(r"^\s*(?:```|~~~)[ \t]*(?:[A-Za-z]{1,12}(?=\s|$))?|(?:```|~~~)[\s;.]*$")
 VERB = r"(?:select|insert|update|delete|with|merge|create|alter|drop|replace)\b"
@@ -323,18 +324,29 @@ def other_language(text: str, words: list[str]) -> str | None:
     return best if best and len(kinds[best]) >= 2 and votes[best] > sql else None
 
 
-def copies(prompt: str, text: str) -> bool:
-    """Whether runs of the prompt cover the text: runs of MIN_RUN words, or of the whole prompt where it is shorter."""
-    asked = UNBLANKED.findall(prompt.lower())
+def copies(prompt: str, asked: list[str], text: str, words: list[str]) -> bool:
+    """asked, words: the words of prompt and text. Whether runs of the prompt cover the text: runs of MIN_RUN words, or of the whole prompt where it is shorter."""
     if literal := LITERAL.fullmatch(text):  # a wrapping would outweigh a short prompt
-        text = literal.group(1)
-    words = UNBLANKED.findall(text.lower())
-    while len(words) > len(asked) and words[0] in LEADS:
-        words.pop(0)
-    known = set(asked)
-    if sum(w in known for w in words) < COVERED * len(words):  # no run holds a word that the prompt lacks
+        words = UNBLANKED.findall(literal.group(1).lower())
+    elif UNBLANKED_CHAR.search(text):
+        words = UNBLANKED.findall(text.lower())
+    if UNBLANKED_CHAR.search(prompt):
+        asked = UNBLANKED.findall(prompt.lower())
+    first = 0
+    while len(words) - first > len(asked) and words[first] in LEADS:
+        first += 1
+    words = words[first:]
+    least, needed = min(MIN_RUN, len(asked)), COVERED * len(words)
+    known, run, reach = set(asked), 0, 0
+    for w in words:  # a run of the prompt holds no word that the prompt lacks
+        if w in known:
+            run += 1
+        else:
+            reach += run if run >= least else 0
+            run = 0
+    if reach + (run if run >= least else 0) < needed:
         return False
-    return SuffixAutomaton(asked).covered(words, min(MIN_RUN, len(asked))) >= COVERED * len(words)
+    return SuffixAutomaton(asked).covered(words, least) >= needed
 
 
 def defect(prompt: str | None, answer: str | None) -> str | None:
@@ -351,7 +363,7 @@ def defect(prompt: str | None, answer: str | None) -> str | None:
         return EMPTY
     asked = WORDS.findall(prompt.lower()) if prompt else []
     tokens = statement(text)
-    copied = copies(prompt, text) if asked else False
+    copied = copies(prompt, asked, text, words) if asked else False
     if tokens is not None and not copied:
         only_text = [w for k, w in tokens if k == "string"]
         if not (len(tokens) <= 8 and only_text and tokens[0][1].lower() == "select" and not any(w.lower() == "from" for k, w in tokens if k == "word")):
