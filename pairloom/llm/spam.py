@@ -36,26 +36,39 @@ HANGUL_MARKS = frozenset("은는이가을를에의로와과도다고요며서면
 CJK_CUT = re.compile(r"[、，,;；|·・•★/／#＃\t\u3000>]+")
 CJK_CUT_BLANK = re.compile(rf"{CJK_CUT.pattern}|\s+")
 SEPARATORS = re.compile(r"\s>>\s|\s[|·;/★•–—-]\s|[|·;★•\t]|,\s")
-CODE = re.compile(
-    r"^\s*(?:[-#/*]+[^\n]{0,200}\s|\w{1,8}:\s+)?(?:select\b.*\bfrom\b|with\s+\w+\s+as\b|insert\s+into\b|update\s+\S+\s+set\b|delete\s+from\b|merge\s+into\b|create\s+(?:table|view|index)\b"
+CODE_START = re.compile(
+    r"\s*(?:[-#/*]+[^\n]{0,200}\s|\w{1,8}:\s+)?(?:select\b.*\bfrom\b|with\s+\w+\s+as\b|insert\s+into\b|update\s+\S+\s+set\b|delete\s+from\b|merge\s+into\b|create\s+(?:table|view|index)\b"
     r"|(?:where|and|on|group\s+by|order\s+by|having|limit|values|join|from|set)\b.*[=<>(\d]|[\"`\w]+\s+(?:integer|int|text|decimal|date|real|varchar|bigint|boolean)\b.*[,)]?\s*$|[)};\]]+;?\s*$)"
-    r"|^\s*[\[{]\s*[\"'{\[]|[{\[(]\s*$|^\s*(?:def|class|import|return|for|while|if)\b.*[:(]\s*|^\s*\w+\s*=\s*\S+|\w+\([^)]{0,300}\)\s*[;{]",
+    r"|\s*[\[{]\s*[\"'{\[]|\s*(?:def|class|import|return|for|while|if)\b.*[:(]\s*|\s*\w+\s*=\s*\S+",
     re.I,
 )
+CALL = re.compile(r"\w\([^)]{0,300}\)\s*[;{]")
 NUMBER = re.compile(r"[-+]?[\d.,:%eE/-]*\d[\d.,:%]*|:?-+:?|null|nan|true|false", re.I)
 CELL = re.compile(r"[|\t;,]")
 #: A page is spam if shapes that are no sentence, code or data make up more than this share of its weight.
 DOMINATED = 0.5
-#: So many of the most frequent shapes count as few.
-FEW = 6
+#: So many of the most frequent shapes count as few, or one for each PARTS_A_SHAPE parts of a longer page.
+FEW, PARTS_A_SHAPE = 6, 4
+#: A page with fewer characters in such shapes is too short to tell.
+LEAST_WEIGHT = 60
 #: A sentence of fewer words is too short to tell.
 SENTENCE_WORDS = 6
 #: Least share of function words in a sentence, and greatest share of content words that it says twice.
 FUNCTION_SHARE, REPEATED_SHARE = 0.12, 0.34
+#: Sentences of languages without known function words: they end like sentences, and least share of their word triples that the page has once.
+FULL_STOP = re.compile(r"[.!?…:;।؟۔։][\"'”’»)\]]*\s*$")
+NEW_SHARE = 0.5
+
+
+def code_line(line: str) -> bool:
+    """Whether a line begins like a statement, opens a block, or calls something and ends there."""
+    return bool(CODE_START.match(line)) or line.rstrip().endswith(("{", "[", "(")) or "(" in line and (";" in line or "{" in line) and bool(CALL.search(line))
 
 
 def data_row(line: str) -> bool:
     """Whether at least half of a line's three or more cells are numbers or rules."""
+    if line.count(",") + line.count("|") + line.count(";") + line.count("\t") < 2:
+        return False
     cells = [c.strip() for c in CELL.split(line.strip().strip("|"))]
     return len(cells) >= 3 and 2 * sum(NUMBER.fullmatch(c) is not None for c in cells) >= len(cells)
 
@@ -81,7 +94,7 @@ def cjk_sentence(part: str) -> bool:
 def sentence(part: str, words: list[str], cells: int) -> bool:
     """Whether a part of a line reads as a sentence: function words, few content words said again, no chain of short items."""
     n = len(words)
-    cjk = len(CJK.findall(part))
+    cjk = 0 if part.isascii() else len(CJK.findall(part))
     if cjk >= 6 and cjk * 2 >= n and cjk_sentence(part):
         return True
     if n < SENTENCE_WORDS:
@@ -96,20 +109,39 @@ def sentence(part: str, words: list[str], cells: int) -> bool:
     return again <= REPEATED_SHARE * n or again <= 4 < n / 3
 
 
+def triples(words: list[str]) -> list[tuple[str, ...]]:
+    return list(zip(words, words[1:], words[2:]))
+
+
+def foreign_sentence(part: str, words: list[str], cells: int, times: int, seen: Counter) -> bool:
+    """Whether a part reads as a sentence whatever its language: it ends like one, is no chain of short items, says few
+    words again, stands on the page twice at most, and is put together anew: at least half of its word triples stand in
+    no other part of the page (seen: the parts of each triple)."""
+    n = len(words)
+    if n < SENTENCE_WORDS or n < 4 * cells or times > 2 or not FULL_STOP.search(part):
+        return False
+    again = sum(c for c in Counter(w for w in words if len(w) > 2).values() if c > 1)
+    mine = triples(words)
+    return again <= REPEATED_SHARE * n and sum(seen[t] == 1 for t in mine) >= NEW_SHARE * len(mine)
+
+
 def capitals(words: list[str]) -> str:
     ups = sum(w[0].isupper() for w in words)
     return "-" if not words else "0" if not ups else "C" if 2 * ups >= len(words) else "c"
 
 
-def shapes(text: str) -> tuple[Counter, Counter]:
-    """(weights of sentence, code and data, weights of the other shapes) of a text; a weight counts characters."""
+def shapes(text: str) -> tuple[Counter, Counter, int]:
+    """(weights of sentence, code and data, weights of the other shapes, parts of other shapes) of a text; a weight counts characters."""
     good: Counter = Counter()
     other: Counter = Counter()
+    doubtful: list[tuple[str, list[str], int, float, str]] = []
+    parts = 0
+    every: list[list[str]] = []
     for line in text.splitlines():
         if not line or line.isspace():
             continue
         links = len(LINK.findall(line)) if ("http" in line or "www." in line or "href" in line or "](" in line) else 0
-        if not links and CODE.search(line):
+        if not links and code_line(line):
             good["code"] += len(line)
             continue
         if not links and data_row(line):
@@ -122,35 +154,52 @@ def shapes(text: str) -> tuple[Counter, Counter]:
         for part in SENTENCE_END.split(bare):
             if not part or part.isspace():
                 continue
-            words = WORD.findall(part)
-            lower = [w.lower() for w in words]
+            lower = WORD.findall(part.lower())
             seps = SEPARATORS.findall(part)
             cells = len(seps) + 1
-            if links * 8 <= len(words) and sentence(part, lower, cells):
+            every.append(lower)
+            if links * 8 <= len(lower) and sentence(part, lower, cells):
                 good["sentence"] += len(part) * weight
                 continue
+            words = WORD.findall(part)
             mark = Counter(s.strip() for s in seps).most_common(1)[0][0] if seps else ""
             size = min(9, round(len(words) / cells))
             tag = "#" if "#" in part and part.count("#") * 3 > len(words) else ""
             kind = f"{'link ' if links else ''}{tag}{size}w{capitals(words)}{mark}"
-            other[kind] += len(part) * weight
+            if links * 8 <= len(words) and len(lower) >= SENTENCE_WORDS:
+                doubtful.append((part, lower, cells, len(part) * weight, kind))
+            else:
+                other[kind] += len(part) * weight
+            parts += 1
         if links and not bare.strip():
             other["link 0w-"] += len(line)
-    return good, other
+            parts += 1
+    said: Counter = Counter()
+    seen: Counter = Counter()
+    if any(FULL_STOP.search(d[0]) for d in doubtful):
+        said.update(map(tuple, every))
+        for words in said:
+            seen.update(set(triples(words)))
+    for part, lower, cells, size, kind in doubtful:
+        if foreign_sentence(part, lower, cells, said[tuple(lower)], seen):
+            good["sentence"] += size
+            parts -= 1
+        else:
+            other[kind] += size
+    return good, other, parts
 
 
 def judge(text: str | None) -> tuple[bool, float, str | None]:
-    """(spam, share of the weight in non-sentence shapes, most frequent such shape)."""
+    """(spam, share of the weight in few non-sentence shapes, most frequent such shape)."""
     if not text or text.isspace():
         return False, 0.0, None
-    good, other = shapes(text)
+    good, other, parts = shapes(text)
     total = sum(good.values()) + sum(other.values())
     if not total or not other:
         return False, 0.0, None
-    top = other.most_common(FEW)
+    top = other.most_common(max(FEW, parts // PARTS_A_SHAPE))
     share = sum(w for _, w in top) / total
-    enough = sum(other.values()) >= 60
-    return share > DOMINATED and enough, round(share, 4), top[0][0]
+    return share > DOMINATED and sum(other.values()) >= LEAST_WEIGHT, round(share, 4), top[0][0]
 
 
 def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -215,6 +215,28 @@ def test_no_spam_in_chinese_japanese_and_korean(text):
     assert not spam.judge(text)[0]
 
 
+# Prose of languages whose function words the rules don't hold.
+FOREIGN = [
+    "De gemeente heeft vorige week besloten dat het nieuwe zwembad pas volgend jaar open gaat. Volgens de wethouder duurt het werk langer omdat de fundering niet sterk genoeg bleek te zijn. Bewoners reageerden teleurgesteld op het bericht, maar begrijpen dat veiligheid voorop staat.",
+    "Вчера городской совет объявил, что новая библиотека откроется только осенью. По словам директора, строительство задержалось из-за плохой погоды и нехватки материалов. Жители района надеются, что открытие больше не будут переносить.",
+    "Rada miasta ogłosiła wczoraj, że nowa biblioteka zostanie otwarta dopiero jesienią. Według dyrektora budowa opóźniła się z powodu złej pogody. Mieszkańcy mają nadzieję, że termin nie zostanie ponownie przesunięty.",
+    "Kaupunginvaltuusto ilmoitti eilen, että uusi kirjasto avataan vasta syksyllä ensi vuonna. Johtajan mukaan rakentaminen viivästyi huonon sään ja materiaalipulan vuoksi. Asukkaat toivovat, ettei avajaisia enää siirretä.",
+    "Belediye meclisi dün yeni kütüphanenin ancak sonbaharda açılacağını duyurdu. Müdüre göre inşaat kötü hava ve malzeme eksikliği nedeniyle gecikti. Mahalle sakinleri açılışın bir daha ertelenmeyeceğini umuyor.",
+]
+
+
+@pytest.mark.parametrize("text", FOREIGN)
+def test_prose_of_any_language_is_no_spam(text):
+    assert not spam.judge(text)[0] and not spam.judge(text + "\n\n" + text)[0]
+    assert spam.judge("\n".join(f"goedkoop zwembad Plaats{i}, zwembad kopen Plaats{i}" for i in range(30)) + "\n" + text[:80])[0]
+    assert spam.judge(" ".join(f"Zoek een zwembad cursus? Onze zwembad cursus blijft beste zwembad cursus binnen Plaats{i}." for i in range(8)))[0]
+
+
+def test_many_kinds_of_spam_shapes_do_not_hide_it():
+    kinds = [" | ".join(["best tool"] * k) + f" {'x ' * (k % 5)}#tag{k}" for k in range(2, 14)] + [", ".join(["Cheap Query"] * k) for k in range(2, 9)] + [" - ".join(["free schema maker"] * k) for k in range(2, 9)]
+    assert spam.judge("\n".join(kinds))[0]
+
+
 def test_pages_table(spark):
     df = spark.createDataFrame([(1, "#A #B " * 20_000), (1, "#A #B " * 20_000), (None, None), (3, GENUINE)], "doc_id bigint, text string").withColumn("shape", F.lit(1))
     got = spam.judged_pages(df, "doc_id", "text").collect()
