@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.unionfind import components
-from pairloom.llm.wordjoin import HOT, RARE, linked_nodes, records
+from pairloom.llm.wordjoin import BLOCK, HOT, RARE, linked_nodes, records
 from pairloom.runtime import materialize
 
 
@@ -54,7 +54,7 @@ def expand(links: DataFrame, left: DataFrame, right: DataFrame, keep, within: bo
     return rows.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), "overlap")
 
 
-def near_duplicates(df: DataFrame, id_col: str, text_cols: list[str], threshold: float = 0.8, rare: int = RARE, hot: int = HOT) -> NearDuplicates:
+def near_duplicates(df: DataFrame, id_col: str, text_cols: list[str], threshold: float = 0.8, rare: int = RARE, hot: int = HOT, block: int = BLOCK) -> NearDuplicates:
     """Find the records of df whose word overlap reaches the threshold, by rare-first prefix filtering (see wordjoin).
 
     Null texts count as empty; records without any word, or with a null id, have no near-duplicates; repeated rows share
@@ -63,5 +63,5 @@ def near_duplicates(df: DataFrame, id_col: str, text_cols: list[str], threshold:
     """
     every = records(df, id_col, text_cols, wordless=True)
     recs = every.filter(F.size("words") > 0)
-    links = materialize(linked_nodes(recs, threshold, rare, hot=hot), "word-links", dictionary=False)
+    links = materialize(linked_nodes(recs, threshold, rare, hot=hot, block=block), "word-links", dictionary=False)
     return NearDuplicates(recs.select("id", "node", "fmt").distinct(), links, every.filter(F.size("words") == 0).select("id").distinct())

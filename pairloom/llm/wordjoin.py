@@ -9,11 +9,14 @@ Two records are linked if their word sets x and y have |x & y| / |x | y| >= thre
    least k. So they agree on the first k shared words, each within its own prefix. A sequence of prefix words is a join key
    as soon as its expected number of holders is small: one rare word is enough, frequent words are extended to
    2-grams and more. Words that go together make some keys far more frequent than expected; a second sketch counts the
-   keys so made, and those in hot cells are extended too, round by round. Whether a sequence is emitted depends on the sequence alone,
-   so both sides emit the same key.
-4. The keys are joined once (sort-merge, so that AQE splits a hot key). A key row carries the size, the positions of
-   its last word and a parity bitmap of the words behind it, which give the length, positional and suffix filters.
-5. Surviving pairs are made distinct and verified once each against the whole word sets.
+   keys so made, and those in hot cells are extended too, round by round, until no more can be. Whether a sequence is
+   emitted depends on the sequence and the size range alone, so both sides emit the same key. Pairs are divided into
+   ranges by their larger set, and each range has the longest sequences that its overlaps allow and its sizes can afford.
+4. Keys that are hot even so are salted: a key of L holders is divided into blocks of BLOCK holders, and each pair of
+   blocks is a key of its own, so no key has more than about BLOCK holders on either side, whatever the data.
+5. The keys are joined once. A key row carries the size, the positions of its last word and a parity bitmap of the words
+   behind it, which give the length, positional and suffix filters.
+6. Surviving pairs are made distinct and verified once each against the whole word sets.
 """
 
 from __future__ import annotations
@@ -31,22 +34,29 @@ from pairloom.llm.texts import format_key, word_hashes
 from pairloom.runtime import col, materialize
 
 SKETCH_BITS = 18
-#: The sketch of keys is smaller: every map task sends one row for each cell that it meets, in each round.
-KEY_BITS = 16
+#: The sketch of keys has 2**16 cells or more, so many that a cell holds about CELL_KEYS keys at most, but 2**30 at most.
+KEY_BITS, CELL_KEYS, KEYS_A_RECORD = (16, 30), 2048, 16
+#: The driver and the workers are told at most so many hot cells: those of more than a 2**-20 of all keys always.
+MAX_HOT = 1 << 20
 #: A sequence of words with at most this many expected holders is emitted as a key.
 RARE = 128
-MAX_GRAM = 5
 #: A cell of the key sketch is hot if it holds more than this and four times the mean.
 HOT = 512
-#: The keys are counted at most so often; each round extends the keys that the last one found hot.
-ROUNDS = 2
-#: Pairs whose larger set has at most TINY words join on single words, as do those beyond LONG, whose n-grams would be too many.
-TINY, LONG = 8, 128
+#: Holders of a key that one block of a salted key has, about.
+BLOCK = 4096
+#: Rows of keys that one task joins, about.
+TASK_KEYS = 250_000
+#: Ranges of pairs by the size of their larger set: the largest size and the words of a key at most. Larger sets have longer
+#: prefixes, whose sequences would be too many; the ranges of tiny sets have as many words as their overlaps are sure to.
+RANGES = ((1, 1), (2, 2), (3, 3), (4, 4), (8, 4), (128, 5), (512, 3), (4096, 2), (1 << 40, 1))
+#: Sequences that are extended at a time: what bounds a worker's memory, whatever a batch holds.
+SLICE = 400_000
 HASH_BITS = 55
 
-KEY_FIELDS = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("meta", pa.int64()), ("bits", pa.int64()), ("side", pa.int32()), ("cell", pa.int32())])
-KEY_SCHEMA = "key bigint, node bigint, meta bigint, bits bigint, side int, cell int"
-CELL_SHIFT = np.uint64(64 - KEY_BITS)
+KEY_FIELDS = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("meta", pa.int64()), ("bits", pa.int64()), ("side", pa.int32())])
+KEY_SCHEMA = "key bigint, node bigint, meta bigint, bits bigint, side int"
+#: What a row of a salted key is: partner of any row, or only of rows of the other role.
+BOTH, FIRST, SECOND = 0, 1, 2
 
 
 @dataclass(frozen=True)
@@ -56,7 +66,7 @@ class Threshold:
 
     @classmethod
     def of(cls, value: float) -> Threshold:
-        f = Fraction(value).limit_denominator(1000)
+        f = Fraction(str(value))  # exact: 0.8 is 4/5
         if not Fraction(1, 2) <= f <= 1:
             raise ValueError("the threshold must lie between 0.5 and 1")
         return cls(f.numerator, f.denominator)
@@ -100,20 +110,70 @@ def _mix(h: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 class KeyMaker:
-    """Turns batches of word sets into key rows. It is sent to the Python workers with the sketch's broadcast."""
-
-    def __init__(self, table, total: int, t: Threshold, rare: int, hot=None):
-        self.table, self.total, self.t, self.rare, self.hot = table, max(1, total), t, rare, hot
-
-    def loads(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """How many keys of word sequences fall into each cell of the key sketch."""
-        for batch in self(batches):
-            cells, n = np.unique(batch.column("cell").to_numpy(), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(n, pa.int64())], names=["cell", "n"])
+    """Turns batches of word sets into key rows. It is sent to the Python workers with the sketches' broadcasts."""
+
+    def __init__(self, table, total: int, t: Threshold, rare: int, bits: int, block: int, hot=None, loads=None):
+        """hot, loads: broadcasts of (sorted cells, holders), of the cells whose sequences are extended and of those whose keys are salted."""
+        self.table, self.total, self.t, self.rare, self.block, self.hot, self.load = table, max(1, total), t, rare, block, hot, loads
+        self.shift = np.uint64(64 - bits)
+
+    def held(self, told, h: np.ndarray) -> np.ndarray:
+        """The holders of each hash's cell, 0 for a cell that isn't told."""
+        cells, loads = told.value
+        cell = (h >> self.shift).astype(np.int64)
+        at = np.minimum(np.searchsorted(cells, cell), len(cells) - 1)
+        return np.where(cells[at] == cell, loads[at], 0)
+
+    def counts(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many keys, and how many that can be extended, fall into each cell of the key sketch."""
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def told() -> pa.RecordBatch:
+            cell, at = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+            open_end = np.concatenate([m for _, m in held])
+            n, more = np.bincount(at, minlength=len(cell)), np.bincount(at, weights=open_end, minlength=len(cell)).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(n, pa.int64()), pa.array(more, pa.int64())], names=["cell", "n", "more"])
+
+        size = 0
+        for h, _, _, _, open_end, _ in self.sequences(batches):
+            held.append(((h >> self.shift).astype(np.int64), open_end))
+            size += len(h)
+            if size > 2_000_000:
+                yield told()
+                held, size = [], 0
+        if held:
+            yield told()
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for h, node, meta, bits, _, side in self.sequences(batches):
+            yield from self.salted(h, node, meta, bits, side)
+
+    def salted(self, h, node, meta, bits, side):
+        """Key rows of sequences; the rows of a key with more than a block of holders go to a row and a column of pairs of blocks."""
+        blocks = np.ones(len(h), dtype=np.int64)
+        if self.load is not None:
+            blocks = np.maximum(1, -(-self.held(self.load, h) // self.block))
+        out = [(h[blocks == 1], node[blocks == 1], meta[blocks == 1], bits[blocks == 1], side[blocks == 1])]
+        hot = np.flatnonzero(blocks > 1)
+        mine = (_mix(np.full(len(hot), 7, dtype=np.uint64), node[hot].view(np.uint64)) % blocks[hot].astype(np.uint64)).astype(np.int64)
+        for role in (FIRST, SECOND):
+            at = 0
+            while at < len(hot):  # as many rows at a time as a slice holds
+                upto = at + max(1, int(np.searchsorted(np.cumsum(blocks[hot[at:]]), SLICE)))
+                some, own = hot[at:upto], mine[at:upto]
+                src = np.repeat(np.arange(len(some)), blocks[some])
+                other = np.arange(len(src)) - np.repeat(np.cumsum(blocks[some]) - blocks[some], blocks[some])
+                i, j = (own[src], other) if role == FIRST else (other, own[src])
+                r = some[src]
+                out.append((_mix(_mix(h[r], i + 1), j + 1), node[r], meta[r], bits[r], side[r] + 2 * role))
+                at = upto
+        for key, *rest in out:
+            if len(key):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key.view(np.int64), *rest)], names=KEY_FIELDS.names).cast(KEY_FIELDS)
+
+    def sequences(self, batches: Iterator[pa.RecordBatch]):
+        """(hash, node, meta, bits, whether it can be extended, side) arrays of the emitted sequences of all records."""
         cells = self.table.value
-        mask = np.int64(len(cells) - 1)
         expected = 2.0 ** (np.arange(256) / 8.0) - 1
         seen: set[tuple[int, int]] = set()
         for batch in batches:
@@ -126,11 +186,10 @@ class KeyMaker:
             if len(seen) > 2_000_000:
                 seen.clear()
             words = batch.column("words").filter(pa.array(fresh))
-            yield from self.keys(node[fresh], side[fresh], words, cells, mask, expected)
+            if fresh.any():
+                yield from self.keys(node[fresh], side[fresh], words, cells, np.int64(len(cells) - 1), expected)
 
     def keys(self, node, side, words, cells, mask, expected):
-        if not len(node):
-            return
         offsets = words.offsets.to_numpy().astype(np.int64)
         flat = words.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
         offsets = offsets - offsets[0]
@@ -150,40 +209,37 @@ class KeyMaker:
         need = -(-self.t.num * size // self.t.den)
         prefix = size - need + 1
         up = size * self.t.den // self.t.num  # the largest partner
-        out: list[tuple[np.ndarray, ...]] = []
-
-        def emit(regime: int, h: np.ndarray, r: np.ndarray, last: np.ndarray, k: int) -> None:
-            """h: hash of the sequence, r: record, last: flat index of its last word, k: number of words."""
-            key = _mix(h, np.full(len(h), regime, dtype=np.uint64)).view(np.int64)
-            meta = (size[r] << 34) | ((last - offsets[r]) << 4) | k
-            out.append((key, node[r], meta, (run[last + 1] ^ tail[r]).view(np.int64), side[r], (h >> CELL_SHIFT).astype(np.int32)))
-
-        start = np.zeros(len(flat), dtype=np.uint64)
-        single = _mix(start, flat)
-        for regime, use in ((0, size <= TINY), (2, up > LONG)):
-            at = np.flatnonzero(use[rec] & (pos < prefix[rec]))
-            emit(regime, single[at], rec[at], at, 1)
-        grams = (up > TINY) & (size <= LONG)
-        at = np.flatnonzero(grams[rec] & (pos < prefix[rec]))
-        self.extend(emit, single[at], freq[at], rec[at], at, 1, flat, freq, offsets, size, prefix)
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=KEY_FIELDS.names).cast(KEY_FIELDS)
-
-    def extend(self, emit, h, holders, r, last, k, flat, freq, offsets, size, prefix):
-        """Emit the sequences that few records hold, and extend the others by each later word of the (k+1)-prefix."""
+        lo = 0
+        for regime, (hi, words_most) in enumerate(RANGES):
+            depth = min(words_most, -(-self.t.num * (lo + 1) // self.t.den))  # sets of lo + 1 words share at least so many
+            at = np.flatnonzero(((size <= hi) & (up > lo))[rec] & (pos < prefix[rec]))
+            start = np.full(len(at), regime, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            for h, r, last, k in self.extend(_mix(start, flat[at]), freq[at], rec[at], at, 1, depth, flat, freq, offsets, size, prefix):
+                meta = (size[r] << 34) | ((last - offsets[r]) << 4) | k
+                yield h, node[r], meta, (run[last + 1] ^ tail[r]).view(np.int64), np.full(len(h), k < depth), side[r]
+            lo = hi
+
+    def extend(self, h, holders, r, last, k, depth, flat, freq, offsets, size, prefix):
+        """(hash, record, flat index of the last word, k) of the sequences that few records hold; the others are extended by
+        each later word of the (k+1)-prefix, a slice of them at a time."""
         if self.hot is not None:
-            holders = np.maximum(holders, self.hot.value[h >> CELL_SHIFT])
-        done = (holders <= self.rare) | (k == MAX_GRAM)
+            holders = np.maximum(holders, self.held(self.hot, h))
+        done = (holders <= self.rare) | (k == depth)
         if done.any():
-            emit(1, h[done], r[done], last[done], k)
+            yield h[done], r[done], last[done], k
         h, holders, r, last = h[~done], holders[~done], r[~done], last[~done]
-        if not len(h):
-            return
         end = offsets[r] + np.minimum(prefix[r] + k, size[r])
         room = np.maximum(end - last - 1, 0)
-        src = np.repeat(np.arange(len(h)), room)
-        nxt = last[src] + 1 + np.arange(len(src)) - np.repeat(np.cumsum(room) - room, room)
-        self.extend(emit, _mix(h[src], flat[nxt]), holders[src] * freq[nxt] / self.total, r[src], nxt, k + 1, flat, freq, offsets, size, prefix)
+        total = np.cumsum(room)
+        at = 0
+        while at < len(h):
+            upto = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + SLICE, side="right")))
+            part = room[at:upto]
+            src = np.repeat(np.arange(at, upto), part)
+            nxt = last[src] + 1 + np.arange(len(src)) - np.repeat(np.cumsum(part) - part, part)
+            if len(src):
+                yield from self.extend(_mix(h[src], flat[nxt]), holders[src] * freq[nxt] / self.total, r[src], nxt, k + 1, depth, flat, freq, offsets, size, prefix)
+            at = upto
 
 
 def _meta(side: str) -> tuple:
@@ -191,30 +247,51 @@ def _meta(side: str) -> tuple:
     return F.shiftrightunsigned(m, 34), F.shiftrightunsigned(m, 4).bitwiseAND((1 << 30) - 1), m.bitwiseAND(15)
 
 
-def candidates(recs: DataFrame, t: Threshold, rare: int = RARE, bipartite: bool = False, hot: int = HOT) -> DataFrame:
-    """Distinct node pairs (a, b) that pass all filters. With bipartite, a is of side 0 and b of side 1, and they may be equal."""
+def key_rows(recs: DataFrame, t: Threshold, rare: int = RARE, bipartite: bool = False, hot: int = HOT, block: int = BLOCK) -> tuple[DataFrame, int]:
+    """The key rows of all records, and about their number: sequences are counted and extended until no hot cell has one
+    that can be, then those of cells beyond a block are salted. The counts stay distributed; the driver and the workers
+    are told only the hot cells, of which there are at most MAX_HOT because each has more than a MAX_HOT-th of all keys."""
     table, total = frequency_classes(recs)
-    spark = recs.sparkSession
-    maker = KeyMaker(spark.sparkContext.broadcast(table), total, t, rare)
+    bits = min(KEY_BITS[1], max(KEY_BITS[0], (KEYS_A_RECORD * total // CELL_KEYS).bit_length()))
+    spread = recs.sparkSession.sparkContext.broadcast
+    maker = KeyMaker(spread(table), total, t, rare, bits, block)
     source = recs.select("node", "words", F.col("side").cast("int") if bipartite else F.lit(0).alias("side"))
-    known = np.zeros(1 << KEY_BITS)
-    for _ in range(ROUNDS):
-        loads = source.mapInArrow(maker.loads, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-        counts = np.zeros(1 << KEY_BITS)
-        counts[loads["cell"].to_numpy(dtype=np.int64)] = loads["n"].to_numpy(dtype=np.float64)
-        over = np.where(counts > hot + 4 * counts.mean(), counts, 0.0)
-        if not (over > known).any():
+    known: dict[int, int] = {}
+
+    def told(loads: dict[int, int]):
+        cells = sorted(loads)
+        return spread((np.array(cells, dtype=np.int64), np.array([loads[c] for c in cells], dtype=np.int64))) if cells else None
+
+    while True:
+        counted = source.mapInArrow(maker.counts, "cell bigint, n bigint, more bigint").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("more").alias("more"))
+        counted = materialize(counted, "key-counts")
+        n_keys = counted.agg(F.sum("n")).head()[0] or 0
+        noise, share = 4 * n_keys / (1 << bits), n_keys // MAX_HOT
+        over = counted.filter((F.col("more") > 0) & (F.col("n") > max(hot + noise, share))).select("cell", "n").collect()
+        fresh = {c: n for c, n in over if c not in known}
+        if not fresh:
             break
-        known = np.maximum(known, over)
-        maker = KeyMaker(maker.table, total, t, rare, spark.sparkContext.broadcast(known))
-    keys = source.mapInArrow(maker, KEY_SCHEMA).drop("cell")
-    keys = keys.repartition("key").groupBy("key", "node", "side", "meta", "bits").count().drop("count")
+        known |= fresh
+        maker = KeyMaker(maker.table, total, t, rare, bits, block, told(known))
+    # a cell's load is its hottest key's, but for about the mean of the others
+    large = dict(counted.filter(F.col("n") > max(block + noise, share)).select("cell", (F.col("n") - int(noise / 4)).alias("n")).collect())
+    maker = KeyMaker(maker.table, total, t, rare, bits, block, maker.hot, told(large))
+    return source.mapInArrow(maker, KEY_SCHEMA), n_keys + sum(n * 2 * -(-n // block) for n in large.values())
+
+
+def candidates(recs: DataFrame, t: Threshold, rare: int = RARE, bipartite: bool = False, hot: int = HOT, block: int = BLOCK) -> DataFrame:
+    """Distinct node pairs (a, b) that pass all filters. With bipartite, a is of side 0 and b of side 1, and they may be equal."""
+    keys, n = key_rows(recs, t, rare, bipartite, hot, block)
+    tasks = max(int(recs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // TASK_KEYS)
+    # rows of one node from several map tasks become one where the join reads them
+    keys = keys.repartition(tasks, "key").groupBy("key", "node", "side", "meta", "bits").count().drop("count")
     a, b = keys.alias("a"), keys.alias("b")
     (sa, pa_, k), (sb, pb, _) = _meta("a"), _meta("b")
     both = sa + sb
     needed = F.ceil(F.lit(t.num) * both / F.lit(t.num + t.den) - F.lit(1e-9))
-    side = (F.col("a.side") == 0) & (F.col("b.side") == 1) if bipartite else F.col("a.node") < F.col("b.node")
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & side).filter(
+    role_a, role_b = (F.shiftright(f"{x}.side", 1) for x in "ab")
+    side = (F.col("a.side").bitwiseAND(1) == 0) & (F.col("b.side").bitwiseAND(1) == 1) if bipartite else F.col("a.node") < F.col("b.node")
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & side & (role_a != SECOND) & (role_b != FIRST)).filter(
         (sa * t.den >= sb * t.num)
         & (sb * t.den >= sa * t.num)
         & (k + F.least(sa - pa_, sb - pb) - 1 >= needed)  # position: what may still be shared behind the last key word
@@ -236,8 +313,8 @@ def verified(recs: DataFrame, pairs: DataFrame, t: Threshold) -> DataFrame:
     return met.filter(good).select("a", "b", (F.col("shared") / (F.col("sizes") - F.col("shared"))).alias("overlap"))
 
 
-def linked_nodes(recs: DataFrame, threshold: float, rare: int = RARE, bipartite: bool = False, hot: int = HOT) -> DataFrame:
+def linked_nodes(recs: DataFrame, threshold: float, rare: int = RARE, bipartite: bool = False, hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """Node pairs (a, b, overlap) of different word sets whose overlap reaches the threshold (bipartite: equal sets too)."""
     t = Threshold.of(threshold)
-    pairs = materialize(candidates(recs, t, rare, bipartite, hot), "word-pairs", dictionary=False)
+    pairs = materialize(candidates(recs, t, rare, bipartite, hot, block), "word-pairs", dictionary=False)
     return verified(recs, pairs, t)

@@ -46,9 +46,10 @@ def edited(rng, text, vocabulary):
     return out
 
 
-@pytest.mark.parametrize(("seed", "rare", "hot"), [(0, 128, 512), (1, 2, 512), (2, 1, 1), (3, 4, 2), (4, 128, 3)])
-def test_pairs_equal_brute_force(spark, seed, rare, hot):
-    """Records of 1 to 300 words; a small `rare` or `hot` forces long n-grams."""
+@pytest.mark.parametrize(("seed", "rare", "hot", "block", "slice_rows"), [(0, 128, 512, 4096, 400_000), (1, 2, 512, 4096, 50), (2, 1, 1, 2, 400_000), (3, 4, 2, 3, 1), (4, 128, 3, 1, 7), (5, 10**6, 10**6, 2, 5)])
+def test_pairs_equal_brute_force(spark, monkeypatch, seed, rare, hot, block, slice_rows):
+    """Records of 1 to 300 words; a small `rare` or `hot` forces long n-grams, a small `block` salted keys."""
+    monkeypatch.setattr(wordjoin, "SLICE", slice_rows)
     rng = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(60)]
     rows, k = [], 0
@@ -63,10 +64,35 @@ def test_pairs_equal_brute_force(spark, seed, rare, hot):
     for n in (100, 104, 126, 128, 129, 140, 160):
         rows.append((k, " ".join(big[:n]), None))
         k += 1
-    got = found(spark, rows, rare=rare, hot=hot)
+    got = found(spark, rows, rare=rare, hot=hot, block=block)
     assert len(got) == len(set(got)) and set(got) == brute(rows)
 
 
+def test_long_records_join_on_ngrams(spark):
+    """Sets around the bounds of the ranges, of words that all are frequent."""
+    rng = random.Random(13)
+    vocabulary = [f"f{i}" for i in range(700)]
+    rows = []
+    for k, n in enumerate([100, 125, 128, 129, 130, 160, 410, 500, 512, 513, 600, 640] * 2):
+        rows.append((k, " ".join(rng.sample(vocabulary[: n + n // 12], n)), ""))
+    assert set(found(spark, rows, rare=2, hot=4)) == brute(rows) and brute(rows)
+
+
+def test_no_salted_key_has_more_holders_than_a_block(spark):
+    """All records hold the words of one template and few of their own, so every key is hot."""
+    rows = [(i, " ".join([f"t{k}" for k in range(8)] + [f"x{i}", f"y{i}"]), "") for i in range(600)]
+    recs = wordjoin.records(spark.createDataFrame(rows, SCHEMA), "example_id", ["natural_language", "sql"])
+    t = wordjoin.Threshold.of(0.6)
+    sizes = {}
+    for block in (10**6, 50):
+        keys, _ = wordjoin.key_rows(recs, t, rare=10**6, hot=10**6, block=block)
+        sides = keys.groupBy("key").agg(F.count_if(F.expr("side < 4")).alias("a"), F.count_if(F.expr("side < 2 or side > 3")).alias("b"))
+        sizes[block] = sides.agg(F.max(F.greatest("a", "b"))).head()[0]
+    assert sizes[10**6] == 600 and sizes[50] < 110
+    pairs = wordjoin.candidates(recs, t, rare=10**6, hot=10**6, block=50).collect()
+    assert len(pairs) == 600 * 599 // 2  # 8 of 12 words shared
+
+
 def test_nulls_repeats_and_copies(spark):
     text = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     rows = [(1, text, "x"), (1, text, "x"), (2, text.upper(), "X!"), (3, text, "y"), (4, None, None), (5, "", "  "), (None, text, "z"), (6, text + " x", "")]
@@ -108,6 +134,8 @@ def test_clashing_columns(spark):
 def test_threshold_bounds():
     with pytest.raises(ValueError):
         wordjoin.Threshold.of(0.3)
+    assert (wordjoin.Threshold.of(0.8).num, wordjoin.Threshold.of(0.8).den) == (4, 5)
+    assert (wordjoin.Threshold.of(0.80125).num, wordjoin.Threshold.of(0.80125).den) == (641, 800)
 
 
 def test_cross_split_pairs(spark):
