@@ -290,8 +290,10 @@ def candidates(recs: DataFrame, t: Threshold, rare: int = RARE, bipartite: bool
     both = sa + sb
     needed = F.ceil(F.lit(t.num) * both / F.lit(t.num + t.den) - F.lit(1e-9))
     role_a, role_b = (F.shiftright(f"{x}.side", 1) for x in "ab")
-    side = (F.col("a.side").bitwiseAND(1) == 0) & (F.col("b.side").bitwiseAND(1) == 1) if bipartite else F.col("a.node") < F.col("b.node")
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & side & (role_a != SECOND) & (role_b != FIRST)).filter(
+    # conditions on both sides at once, so that none is pushed to one side: the keys are made and shuffled once for both
+    roles = (3 * role_a + role_b).isin(3 * BOTH + BOTH, 3 * BOTH + SECOND, 3 * FIRST + BOTH, 3 * FIRST + SECOND)
+    side = 2 * F.col("a.side").bitwiseAND(1) + F.col("b.side").bitwiseAND(1) == 1 if bipartite else F.col("a.node") < F.col("b.node")
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & side & roles).filter(
         (sa * t.den >= sb * t.num)
         & (sb * t.den >= sa * t.num)
         & (k + F.least(sa - pa_, sb - pb) - 1 >= needed)  # position: what may still be shared behind the last key word
