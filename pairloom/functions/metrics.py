@@ -99,6 +99,8 @@ def rouge_scores(pred: Column, target: Column, stemmed: bool = True) -> Column:
     return _rouge_udf(stemmed)(_plain(pred), _plain(target))
 
 
+#: The metric that runs queries; report.scored() makes it with a gate.
+EXECUTION = "exec_accuracy"
 #: Metrics by name: each makes a double column of a predicted and a target column.
 METRICS = {
     "exact_match": exact_match,
@@ -113,3 +115,10 @@ def metric(name: str):
     if name not in METRICS:
         raise ValueError(f"unknown metric {name!r}; known: {sorted(METRICS)}")
     return METRICS[name]
+
+
+def register_metrics(spark) -> list[str]:
+    """Make the text metrics SQL functions of their names (bleu, and rouge with fields rouge1, rouge2, rougeL); returns the names."""
+    spark.udf.register("bleu", _bleu_udf)
+    spark.udf.register("rouge", _rouge_udf(True))
+    return ["bleu", "rouge"]

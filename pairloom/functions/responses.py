@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.text import strip
 
+INT_MAX = (1 << 31) - 1
 EXAMPLES = "array<struct<natural_language:string,sql:string,difficulty:string,category:string>>"
 
 
@@ -18,11 +19,14 @@ def is_json(c: Column) -> Column:
 
 def unfence(c: Column) -> Column:
     """Without a JSON code fence around the text."""
-    return F.regexp_replace(F.regexp_replace(strip(c), r"^```(?:json)?\s*", ""), r"\s*```$", "")
+    text = strip(c)
+    inner = F.when(text.startswith("```json"), F.substring(text, 8, INT_MAX)).when(text.startswith("```"), F.substring(text, 4, INT_MAX)).otherwise(text)
+    inner = strip(inner)
+    return strip(F.when(inner.endswith("```"), inner.substr(F.lit(1), F.length(inner) - 3)).otherwise(inner))
 
 
 def quality_score(c: Column) -> Column:
-    """Score of 1 to 5: the JSON's score (3 if missing) clamped, else the first bare digit from 1 to 5, else 3.
+    """Score of 1 to 5: the JSON's score (3 if missing) clamped, else the first digit from 1 to 5 that stands alone, else 3.
 
     A bare JSON number scores 3.
     """
@@ -30,9 +34,9 @@ def quality_score(c: Column) -> Column:
     is_object = text.startswith("{") & is_json(text)
     given = F.get_json_object(text, "$.score").try_cast("double")
     clamped = F.least(F.greatest(F.coalesce(given, F.lit(3.0)), F.lit(1.0)), F.lit(5.0))
-    digit = F.regexp_extract(text, r"\b([1-5])\b", 1)
+    lone = F.filter(F.split(text, "[^A-Za-z0-9_]+"), lambda w: w.isin("1", "2", "3", "4", "5"))
     bare = text.try_cast("double").isNotNull()
-    return F.when(is_object, clamped).when(bare, F.lit(3.0)).when(digit != "", digit.cast("double")).otherwise(F.lit(3.0))
+    return F.when(is_object, clamped).when(bare | (F.size(lone) == 0), F.lit(3.0)).otherwise(F.try_element_at(lone, F.lit(1)).cast("double"))
 
 
 def judgement(c: Column) -> Column:
@@ -76,11 +80,15 @@ def kept_examples(c: Column, difficulty: str, strategy: str) -> Column:
 
 
 def extracted_sql(c: Column) -> Column:
-    """The first fenced block, or the text without a leading label."""
+    """What stands in the first fenced block, without the block's language name, or the text without a leading label."""
     text = strip(c)
-    fence = r"(?is)```(?:sql)?\s*(.*?)\s*```"
-    fenced = F.regexp_like(text, F.lit(fence))
-    return strip(F.when(fenced, F.regexp_extract(text, fence, 1)).otherwise(F.regexp_replace(text, r"(?i)^(?:sql|query)\s*[:\-]\s*", "")))
+    inside = F.split(text, "```")  # outside, inside, outside, ...
+    block = F.try_element_at(inside, F.lit(2))
+    fenced = F.when(F.lower(block).startswith("sql"), F.substring(block, 4, INT_MAX)).otherwise(block)
+    word = F.when(F.lower(text).startswith("sql"), 3).when(F.lower(text).startswith("query"), 5).otherwise(0)
+    rest = strip(text.substr(word + 1, F.length(text)))
+    labelled = (word > 0) & (rest.startswith(":") | rest.startswith("-"))
+    return F.when(F.size(inside) > 2, strip(fenced)).when(labelled, strip(F.substring(rest, 2, INT_MAX))).otherwise(text)
 
 
 def served_sql(c: Column) -> Column:

@@ -71,13 +71,39 @@ def benchmark_prompt(c: Column) -> Column:
     return F.concat(F.lit(BENCHMARK_PROMPT[0]), c, F.lit(BENCHMARK_PROMPT[1]))
 
 
+# The server's prompt, around the system text, the schema and the question.
+CHAT_PROMPT = (
+    "<|begin_of_text|><|start_header_id|>system<|end_header_id|>\n\n",
+    "<|eot_id|><|start_header_id|>user<|end_header_id|>\n\n### Schema:\n",
+    "\n\n### Question:\n",
+    "<|eot_id|><|start_header_id|>assistant<|end_header_id|>\n\n",
+)
+
+
 def chat_prompt(question: Column, schema: Column, system: str) -> Column:
     """A question with its schema as an open chat turn, ready for a model's answer."""
-    head = f"<|begin_of_text|><|start_header_id|>system<|end_header_id|>\n\n{system}<|eot_id|><|start_header_id|>user<|end_header_id|>\n\n### Schema:\n"
-    return F.concat(F.lit(head), strip(schema), F.lit("\n\n### Question:\n"), strip(question), F.lit("<|eot_id|><|start_header_id|>assistant<|end_header_id|>\n\n"))
+    return F.concat(F.lit(CHAT_PROMPT[0] + system + CHAT_PROMPT[1]), strip(schema), F.lit(CHAT_PROMPT[2]), strip(question), F.lit(CHAT_PROMPT[3]))
+
+
+# What is shown of a gate result and of a repair.
+PASS, FAIL, NO_REPAIR, REPAIRED, UNREPAIRED = "[PASS]", "[FAIL:{0}]", "[PASS: no repair needed]", "[REPAIRED after {0} attempt(s)]", "[FAIL after {0} attempt(s): {1}]"
+
+
+def filled(template: str, *values: Column) -> Column:
+    """A text with columns in place of {0}, {1} and so on, in this order."""
+    out, rest = [], template
+    for k, value in enumerate(values):
+        head, rest = rest.split(f"{{{k}}}", 1)
+        out += [F.lit(head), value.cast("string")]
+    return F.concat(*out, F.lit(rest))
 
 
 def shown_result(passed: Column, status: Column, message: Column) -> Column:
-    """[PASS], or [FAIL:status] and the message."""
-    failed = F.concat(F.lit("[FAIL:"), status, F.lit("]"), F.when(F.coalesce(message, F.lit("")) != "", F.concat(F.lit(" "), message)).otherwise(F.lit("")))
-    return F.when(passed, F.lit("[PASS]")).otherwise(failed)
+    """The verdict of the gate, and the message of a failure."""
+    told = F.when(F.coalesce(message, F.lit("")) != "", F.concat(F.lit(" "), message)).otherwise(F.lit(""))
+    return F.when(passed, F.lit(PASS)).otherwise(F.concat(filled(FAIL, status), told))
+
+
+def shown_repair(passed: Column, attempts: Column, status: Column) -> Column:
+    """The outcome of a repair."""
+    return F.when(passed & (attempts == 0), F.lit(NO_REPAIR)).when(passed, filled(REPAIRED, attempts)).otherwise(filled(UNREPAIRED, attempts, status))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,3 +85,17 @@ def chunked(df: DataFrame, ids: str, max_len: int, overlap: int = 0, strategy: s
 
 def word_tokens(df: DataFrame) -> Column:
     return tokens(record_text(df))
+
+
+def tokenized(text: Column, tokenizer) -> Column:
+    """Tokens of a text by a tokenizer: a function of columns, which stays in the JVM, or an object with encode(text), whose ids
+    are made on Arrow batches. Null gives an empty array."""
+    given = F.coalesce(text, F.lit(""))
+    if callable(tokenizer):
+        return tokenizer(given)
+
+    @F.pandas_udf("array<int>")
+    def ids(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: list(tokenizer.encode(t)))
+
+    return ids(given)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from pairloom.functions.text import group_key
 from pairloom.operators.ranking import permuted_rank
@@ -35,12 +34,10 @@ def target_counts(df: DataFrame, field: str, proportions: dict[str, float], stra
     spark = df.sparkSession
     wanted = spark.createDataFrame([(str(k), float(v)) for k, v in shares.items()], "category string, share double")
     groups = df.groupBy(group_key(field).alias("category")).agg(F.count("*").alias("current"))
-    every = Window.partitionBy()
-    groups = groups.withColumn("n_all", F.sum("current").over(every))
     joined = groups.join(F.broadcast(wanted), "category", "left")  # a row for each target category, given by the caller
     ratio = F.when(F.col("share") > 0, F.col("current") / F.col("share"))
-    scale = (F.min if strategy == "downsample" else F.max)(ratio).over(every)
-    joined = joined.withColumn("scale", F.col("n_all") if strategy == "both" else scale)
+    whole = groups.agg(F.sum("current")).scalar() if strategy == "both" else joined.agg((F.min if strategy == "downsample" else F.max)(ratio)).scalar()
+    joined = joined.withColumn("scale", whole)
     sized = F.greatest(F.lit(1), F.bround(F.col("share") * F.col("scale")).cast("bigint"))
     if strategy == "downsample":
         sized = F.least("current", sized)
@@ -75,8 +72,14 @@ def rebalance(df: DataFrame, field: str, proportions: dict[str, float], order: C
 def distribution(df: DataFrame, field: str) -> DataFrame:
     """(category, n, ratio) of a field's values; null is __unknown__."""
     counts = df.groupBy(group_key(field).alias("category")).agg(F.count("*").alias("n"))
-    return counts.withColumn("ratio", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 4))
+    return counts.withColumn("ratio", F.round(F.col("n") / counts.agg(F.sum("n")).scalar(), 4))
 
 
 def value_counts(df: DataFrame, field: str) -> DataFrame:
     return df.groupBy(group_key(field).alias("category")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "category")
+
+
+def unknown_categories(df: DataFrame, field: str, proportions: dict[str, float]) -> DataFrame:
+    """(category, n) of the categories that the proportions don't name, which rebalance() drops."""
+    wanted = df.sparkSession.createDataFrame([(str(k),) for k in proportions], "category string")
+    return df.groupBy(group_key(field).alias("category")).agg(F.count("*").alias("n")).join(F.broadcast(wanted), "category", "left_anti")  # the caller's plan

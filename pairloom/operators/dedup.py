@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.text import fingerprint, tokens
-from pairloom.runtime import col, fresh_name, materialize
+from pairloom.runtime import col, fresh_name, materialize, table_path
 
 PRIME = (1 << 31) - 1
 
@@ -58,6 +58,23 @@ def permutations(num_perm: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(out[:num_perm], dtype=np.int64), np.array(out[num_perm:], dtype=np.int64)
 
 
+def band_keys(flat: np.ndarray, offsets: np.ndarray, a: np.ndarray, b: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """A 64-bit key for each list of hashes and each band: a hash of the band's number and its least permuted values."""
+    filled = np.flatnonzero(np.diff(offsets))
+    keys = np.empty((len(offsets) - 1, bands), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for band in range(bands):
+            key = np.full(len(offsets) - 1, band + 1, dtype=np.uint64)
+            for k in range(band * rows, (band + 1) * rows):
+                low = np.full(len(offsets) - 1, PRIME, dtype=np.int64)
+                if len(filled):  # lists without values lie between the starts of others and take no part
+                    low[filled] = np.minimum.reduceat((flat * a[k] + b[k]) % PRIME, offsets[filled])
+                key = (key ^ low.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                key ^= key >> np.uint64(32)
+            keys[:, band] = key
+    return keys.view(np.int64)
+
+
 def _banded(threshold: float, num_perm: int, seed: int):
     bands, rows = best_bands(threshold, num_perm)
     a, b = permutations(num_perm, seed)
@@ -65,14 +82,11 @@ def _banded(threshold: float, num_perm: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("hashes")
-            offsets = lists.offsets.to_numpy()
-            flat = lists.values.to_numpy(zero_copy_only=False).astype(np.int64)
-            keys = []
-            for lo, hi in zip(offsets[:-1], offsets[1:]):
-                h = flat[lo:hi]
-                low = ((h[:, None] * a + b) % PRIME).min(axis=0) if len(h) else np.full(num_perm, PRIME, dtype=np.int64)
-                keys.append([",".join(map(str, low[k * rows : (k + 1) * rows])) for k in range(bands)])
-            yield pa.RecordBatch.from_arrays([batch.column("pos"), pa.array(keys, pa.list_(pa.string()))], names=["pos", "bands"])
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            flat = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].astype(np.int64)
+            keys = band_keys(flat, offsets - offsets[0], a, b, bands, rows)
+            ends = np.arange(0, keys.size + 1, bands, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("pos"), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))], names=["pos", "bands"])
 
     return run
 
@@ -114,30 +128,46 @@ def minhash_links(df: DataFrame, text_col: str, order_col: str, threshold: float
     return near.unionByName(same.select("pos_a", "pos_b", F.lit(True).alias("same_tokens")))
 
 
+def _band_rows(sets: DataFrame, threshold: float, num_perm: int, seed: int) -> DataFrame:
+    """(pos, v): the band keys of each set; a key holds its band's number."""
+    return sets.mapInArrow(_banded(threshold, num_perm, seed), "pos bigint, bands array<bigint>").select("pos", F.explode("bands").alias("v"))
+
+
 def _band_pairs(sets: DataFrame, threshold: float, num_perm: int, seed: int) -> DataFrame:
-    bands = sets.mapInArrow(_banded(threshold, num_perm, seed), "pos bigint, bands array<string>")
-    keys = bands.select("pos", F.posexplode("bands").alias("band", "v")).select("pos", "band", F.md5("v").alias("v"))
+    keys = _band_rows(sets, threshold, num_perm, seed)
     a, b = keys.alias("a"), keys.alias("b")
-    met = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.v") == F.col("b.v")) & (F.col("a.pos") < F.col("b.pos")))
+    met = a.join(b, (F.col("a.v") == F.col("b.v")) & (F.col("a.pos") < F.col("b.pos")))
     return met.select(F.col("a.pos").alias("pos_a"), F.col("b.pos").alias("pos_b")).distinct()
 
 
-def greedy_drops(pairs: DataFrame) -> DataFrame:
-    """(pos): rows to drop, so that a row stays exactly if no earlier row that stays is paired with it.
+def bucket_drops(members: DataFrame) -> DataFrame:
+    """(pos): rows to drop, so that a row stays exactly if it shares no bucket with an earlier row that stays.
 
-    Rounds over the undecided pairs only: a row with no undecided or kept earlier partner is kept, its later partners are
-    dropped. A chain a-b-c keeps a and c. Each round decides at least the first undecided row of every component.
+    members (pos, v): the buckets v of each row; the rows of a bucket are all partners of each other, and are never written
+    as pairs. A round keeps each row that is the first undecided one of all its buckets, and drops what shares a bucket
+    with it, so that a bucket of any size is decided by its first row. A chain a-b-c keeps a and c. There are as many
+    rounds as the longest chain of rows that wait for each other; each works on the rows that are still undecided.
     """
-    open_pairs = materialize(pairs.select("pos_a", "pos_b"), "open")
-    dropped = None
-    while not open_pairs.isEmpty():
-        later = open_pairs.select(F.col("pos_b").alias("pos_a")).distinct()
-        kept = open_pairs.select("pos_a").distinct().join(later, "pos_a", "left_anti")
-        gone = materialize(open_pairs.join(kept, "pos_a", "left_semi").select(F.col("pos_b").alias("pos")).distinct(), "gone")
-        dropped = gone if dropped is None else dropped.unionByName(gone)
-        rest = open_pairs.join(kept, "pos_a", "left_anti").join(gone.select(F.col("pos").alias("pos_a")), "pos_a", "left_anti")
-        open_pairs = materialize(rest.join(gone.select(F.col("pos").alias("pos_b")), "pos_b", "left_anti").select("pos_a", "pos_b"), "open")
-    return dropped if dropped is not None else pairs.select(F.col("pos_b").alias("pos")).limit(0)
+    spark = members.sparkSession
+    sizes = members.groupBy("v").agg(F.count("*").alias("n")).filter("n > 1")
+    left = materialize(members.join(sizes.select("v"), "v", "left_semi"), "open")
+    path, schema = table_path(spark, "gone"), "pos bigint"
+    spark.createDataFrame([], schema).write.parquet(path)
+    while not left.isEmpty():
+        first = left.groupBy("v").agg(F.min("pos").alias("m"))
+        kept = left.join(first, "v").groupBy("pos").agg(F.bool_and(F.col("pos") == F.col("m")).alias("first")).filter("first").select("pos")
+        kept = materialize(kept, "kept")
+        taken = left.join(kept, "pos", "left_semi").select("v").distinct()
+        gone = materialize(left.join(taken, "v", "left_semi").join(kept, "pos", "left_anti").select("pos").distinct(), "gone")
+        gone.write.mode("append").parquet(path)
+        left = materialize(left.join(kept.unionByName(gone), "pos", "left_anti"), "open")
+    return spark.read.schema(schema).parquet(path)
+
+
+def greedy_drops(pairs: DataFrame) -> DataFrame:
+    """(pos): rows to drop, so that a row stays exactly if no earlier row that stays is paired (pos_a, pos_b) with it."""
+    pair = F.concat_ws(":", F.least("pos_a", "pos_b").cast("string"), F.greatest("pos_a", "pos_b").cast("string"))
+    return bucket_drops(pairs.filter("pos_a <> pos_b").select(F.explode(F.array("pos_a", "pos_b")).alias("pos"), pair.alias("v")).distinct())
 
 
 def fuzzy_dedup(df: DataFrame, text_col: str, order_col: str, threshold: float = 0.85, num_perm: int = 128, seed: int = 42) -> DataFrame:
@@ -147,7 +177,7 @@ def fuzzy_dedup(df: DataFrame, text_col: str, order_col: str, threshold: float =
     resemble each other, so the first stays; null counts as empty.
     """
     first, sets, _ = _classes(df, text_col, order_col)
-    gone = greedy_drops(_band_pairs(sets, threshold, num_perm, seed))
+    gone = bucket_drops(_band_rows(sets, threshold, num_perm, seed))
     name = fresh_name(df, "_pos")
     stay = first.select("pos").join(gone, "pos", "left_anti").withColumnRenamed("pos", name)
     return df.join(stay, col(order_col) == F.col(name), "left_semi")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import islice
 
@@ -11,11 +12,11 @@ from pyspark.sql import functions as F
 
 from pairloom.operators import gate as G
 from pairloom.operators.filters import quality
-from pairloom.runtime import materialize
+from pairloom.runtime import materialize, table_path
 
 #: Rows that are checked before their results are written; the driver holds no more of them.
 CHUNK = 200
-CHECKED = "id bigint, sql string, original_sql string, first_status string, last_status string, error string, attempts int, accepted boolean"
+CHECKED = "id bigint, sql string, original_sql string, first_status string, last_status string, error string, attempts int, accepted boolean, history string"
 
 
 @dataclass
@@ -44,34 +45,33 @@ class Generation:
     def _annotated(self, accepted: bool) -> DataFrame:
         rows = self.pairs.drop("sql").join(self.checked.filter(F.col("accepted") == accepted), "id")
         repaired = F.col("attempts") > 0
-        meta = G.annotated(F.col("metadata"), F.col("last_status"), F.col("error"), repaired, F.col("attempts"), F.when(repaired, F.col("original_sql")))
+        meta = G.annotated(F.col("metadata"), F.col("last_status"), F.col("error"), repaired, F.col("attempts"), F.when(repaired, F.col("original_sql")), F.col("history"))
         return rows.withColumn("metadata", meta).select(*self.pairs.columns)
 
 
-def _checks(rows: Iterator[Row], gate: G.Gate, fix: Callable | None, max_attempts: int) -> Iterator[list[tuple]]:
-    while part := list(islice(rows, CHUNK)):
-        first = gate.check_batch([(r.sql, r.target_sql) for r in part])
-        out = []
-        for r, result in zip(part, first):
-            sql, last, attempts = r.sql, result, 0
-            if not result.passed and fix is not None:
-                mended = G.repair(gate, sql, r.target_sql, fix, max_attempts)
-                sql, last, attempts = mended.sql, mended.result, mended.attempts
-            out.append((r.id, sql, r.sql, result.status, last.status, last.error_message, attempts, last.passed))
-        yield out
-
-
-def run(pairs: DataFrame, gate: G.Gate, fix: Callable[[str, G.GateResult], str] | None = None, max_attempts: int = 3) -> Generation:
+def _checked(row: Row, gate: G.Gate, fix: Callable | None, max_attempts: int) -> tuple:
+    first = gate.check(row.sql, row.target_sql)
+    sql, last, attempts, history = row.sql, first, 0, None
+    if not first.passed and fix is not None:
+        mended = G.repair(gate, sql, row.target_sql, fix, max_attempts, first)
+        sql, last, attempts, history = mended.sql, mended.result, mended.attempts, json.dumps(mended.history)
+    return row.id, sql, row.sql, first.status, last.status, last.error_message, attempts, last.passed, history
+
+
+def run(pairs: DataFrame, gate: G.Gate, fix: Callable[[str, G.GateResult], str] | None = None, max_attempts: int = 3, parallel: int = 4) -> Generation:
     """pairs (id, natural_language, sql, metadata and more) through all stages.
 
     The cheap checks run on the whole table; each pair that passes is a query of its own at the gate, so the driver
-    schedules those, chunk by chunk, and fixes those that fail if there is a fixer. metadata['target_sql'] is the target.
+    schedules those, chunk by chunk, up to `parallel` at a time, and each that fails is fixed by the same thread if there
+    is a fixer. Chunks are appended to one table, which is read once at the end. metadata['target_sql'] is the target.
     """
     spark = pairs.sparkSession
     ok = quality(F.col("natural_language"), F.col("sql"))["passed"]
     judged = materialize(pairs.withColumn("_passed", ok), "judged")
-    records = G.gate_records(judged.filter("_passed"), "id")
-    done = spark.createDataFrame([], CHECKED)
-    for part in _checks(records.toLocalIterator(prefetchPartitions=True), gate, fix, max_attempts):
-        done = done.unionByName(materialize(spark.createDataFrame(part, CHECKED), "checked"))
-    return Generation(judged.drop("_passed"), done, judged.filter("not _passed").drop("_passed"))
+    rows = G.gate_records(judged.filter("_passed"), "id").toLocalIterator(prefetchPartitions=True)
+    path = table_path(spark, "checked")
+    spark.createDataFrame([], CHECKED).write.parquet(path)
+    while part := list(islice(rows, CHUNK)):
+        done = G.in_threads(spark, lambda row: _checked(row, gate, fix, max_attempts), part, parallel)
+        spark.createDataFrame(done, CHECKED).coalesce(1).write.mode("append").parquet(path)
+    return Generation(judged.drop("_passed"), spark.read.schema(CHECKED).parquet(path), judged.filter("not _passed").drop("_passed"))

@@ -41,11 +41,11 @@ def split_stats(df: DataFrame, split_col: str = "split", field: str | None = Non
     s = F.col(split_col).alias("split")
     if field is None:
         sizes = df.groupBy(s).agg(F.count("*").alias("n")).withColumn("category", F.lit(None).cast("string"))
-        return sizes.select("split", "category", "n", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 4).alias("ratio"))
+        return sizes.select("split", "category", "n", F.round(F.col("n") / sizes.agg(F.sum("n")).scalar(), 4).alias("ratio"))
     cells = df.groupBy(s, group_key(field).alias("category")).agg(F.count("*").alias("n"))
     inner = cells.withColumn("ratio", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("split")), 4))
     outer = cells.groupBy("split").agg(F.sum("n").alias("n")).withColumn("category", F.lit(None).cast("string"))
-    outer = outer.withColumn("ratio", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 4))
+    outer = outer.withColumn("ratio", F.round(F.col("n") / outer.agg(F.sum("n")).scalar(), 4))
     return outer.select("split", "category", "n", "ratio").unionByName(inner.select("split", "category", "n", "ratio"))
 
 
@@ -67,3 +67,28 @@ def few_shot(df: DataFrame, n: int, order: Column, mode: str = "random", difficu
         others = first(keyed.filter(F.coalesce(F.col("difficulty") != difficulty, F.lit(True))), n - have)
         return same.unionByName(others).drop(key)
     return first(keyed, n).drop(key)
+
+
+def shuffled(df: DataFrame, order: Column, seed: int = 42) -> DataFrame:
+    """df in a permuted order, the same for the same seed and rows."""
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), order.cast("string"))), order)
+
+
+def first_rows(df: DataFrame, order_col: str, n: int) -> DataFrame:
+    """The first n rows in the order of a column."""
+    return df.orderBy(F.col(order_col)).limit(max(0, n))
+
+
+def seed_subsets(df: DataFrame, requests: DataFrame, request_col: str, order: Column, k: int, seed: int = 42) -> DataFrame:
+    """(request, nth, columns of df): k different rows of df for each request, or all of them where df has fewer.
+
+    df is put in a permuted order once; a request takes k consecutive rows of it from a start that a hash of its value
+    names, so a request is joined with its own rows and no others.
+    """
+    rank, size, at = fresh_name(df, "_rank"), fresh_name(df, "_size"), fresh_name(df, "_at")
+    ranked = permuted_rank(df, F.lit(""), order, seed, rank, size)
+    n = df.count()
+    asked = requests.select(F.col(request_col).alias("request"), F.explode(F.sequence(F.lit(1), F.lit(max(1, min(k, n))))).alias("nth"))
+    start = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("request").cast("string"))), 1, 12), 16, 10).cast("bigint")
+    asked = asked.withColumn(at, F.pmod(start + F.col("nth") - 1, F.lit(max(1, n))))
+    return asked.join(ranked, F.col(at) == F.col(rank)).drop(at, rank, size)

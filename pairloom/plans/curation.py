@@ -130,12 +130,41 @@ def few_shot_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("seed_id", "difficulty")
 
 
+def few_shot_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.few_shot(read_table(spark, sf_dir, "seeds"), 10, F.col("seed_id"), seed=SEED).select("seed_id")
+
+
+def few_shot_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.few_shot(read_table(spark, sf_dir, "seeds"), 10, F.col("seed_id"), "category", category="join", seed=SEED).select("seed_id", "category")
+
+
+def seed_subsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five seeds for the prompt of each job."""
+    seeds, jobs = read_table(spark, sf_dir, "seeds").select("seed_id"), read_table(spark, sf_dir, "generation_jobs").select("job_id")
+    return split.seed_subsets(seeds, jobs, "job_id", F.col("seed_id"), 5, SEED).select("request", "nth", "seed_id")
+
+
+def first_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.first_rows(_examples(spark, sf_dir), "example_id", 20).select("example_id", "category")
+
+
+def unknown_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balance.unknown_categories(_examples(spark, sf_dir), "difficulty", TARGETS)
+
+
+def quality_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = filters.quality(F.col("natural_language"), F.col("sql"), F.when(~F.isnan("score"), F.col("score")))
+    rows = spread_table(spark, sf_dir, "generated_examples", ["example_id", *PAIR, "score"])
+    return rows.select("example_id", q.alias("q")).select("example_id", filters.quality_summary(F.col("q")).alias("summary"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         curation_by_language, exact_dedup_first, exact_dedup_last, fuzzy_pairs, fuzzy_dedup, length_filter, keyword_filter, score_filter, sql_valid_filter,
         filter_chain_counts, filter_by_labels, unsafe_statements, heuristic_issues, syntax_issues, quality_counts, numeric_metadata, balance_report,
-        value_counts, split_random, split_stratified, split_stats, few_shot_examples,
+        value_counts, split_random, split_stratified, split_stats, few_shot_examples, few_shot_random, few_shot_category, seed_subsets, first_examples,
+        unknown_categories, quality_summaries,
     )
 }
 QUERIES |= {f"balance_counts_{s}": _balance(s) for s in balance.STRATEGIES} | {f"rebalance_{s}": _rebalanced(s) for s in balance.STRATEGIES}
@@ -153,7 +182,7 @@ ISSUES = f"""list_filter([
   CASE WHEN regexp_matches({NL}, '(?i)\\{{\\{{|\\}}\\}}|<placeholder>') THEN 'NL contains template placeholders' END,
   CASE WHEN {PARENS} THEN 'SQL has unbalanced parentheses' END
 ], lambda x: x IS NOT NULL)"""
-SYNTAX = f"""CASE WHEN {stripped(Q)} = '' THEN 'sqlparse returned empty result'
+SYNTAX = f"""CASE WHEN {stripped(Q)} = '' THEN 'SQL holds no statement'
   WHEN (length({Q}) - length(replace({Q}, '''', ''))) % 2 <> 0 THEN 'SQL has unclosed string literal'
   WHEN regexp_matches({stripped(Q)}, ',[\\s\\p{{Z}}]*;*$') THEN 'SQL ends with a trailing comma' END"""
 KEEP_SCORE = "(score IS NULL OR (score::VARCHAR <> 'nan' AND score >= 3.0))"
@@ -212,6 +241,26 @@ SQL = {
     "rebalance_downsample": f"""WITH t AS ({_targets_sql('downsample')}) SELECT example_id, difficulty FROM (SELECT example_id, difficulty,
       row_number() OVER (PARTITION BY difficulty ORDER BY md5('42:' || example_id), example_id) AS r FROM generated_examples) JOIN t ON difficulty = category WHERE r <= target""",
 }
+_A, _B = dedup.permutations(128, 42)
+_BANDS, _ROWS = dedup.best_bands(0.85, 128)
+_HASHES = r"""(SELECT example_id AS pos, list_sort(list_distinct(list_transform(list_distinct(regexp_extract_all(lower(coalesce(natural_language, '')), '[\p{L}\p{N}_]+')), lambda w: ('0x' || substr(md5(w), 1, 7))::BIGINT))) AS h FROM generated_examples)"""
+SQL |= {
+    # the signature's permutations and bands are parameters of the operator, as are their numbers here
+    "fuzzy_pairs": f"""WITH t AS MATERIALIZED {_HASHES}, f AS MATERIALIZED (SELECT h, min(pos) AS p FROM t GROUP BY h),
+      s AS MATERIALIZED (SELECT p, list_transform(range(1, 129), lambda i: list_min(list_transform(h, lambda x: (x * ({_A.tolist()})[i] + ({_B.tolist()})[i]) % {dedup.PRIME}))) AS g FROM f WHERE len(h) > 0),
+      k AS MATERIALIZED (SELECT p, b, array_to_string(g[b * {_ROWS} + 1:(b + 1) * {_ROWS}], ',') AS v FROM s, range(0, {_BANDS}) r(b))
+      SELECT DISTINCT x.p AS pos_a, y.p AS pos_b, false AS same_tokens FROM k x JOIN k y ON x.b = y.b AND x.v = y.v AND x.p < y.p
+      UNION ALL SELECT f.p, t.pos, true FROM t JOIN f USING (h) WHERE t.pos > f.p""",
+    "few_shot_random": "SELECT seed_id FROM seeds ORDER BY md5('42:' || seed_id), seed_id LIMIT 10",
+    "few_shot_category": "SELECT seed_id, category FROM seeds WHERE category = 'join' ORDER BY md5('42:' || seed_id), seed_id LIMIT 10",
+    "seed_subsets": """WITH s AS (SELECT seed_id, row_number() OVER (ORDER BY md5('42:' || seed_id), seed_id) - 1 AS r, count(*) OVER () AS n FROM seeds)
+      SELECT j.job_id AS request, k::INT AS nth, s.seed_id FROM generation_jobs j, range(1, 6) t(k), s WHERE s.r = (('0x' || substr(md5('42:' || j.job_id), 1, 12))::BIGINT + k - 1) % s.n""",
+    "first_examples": "SELECT example_id, category FROM generated_examples ORDER BY example_id LIMIT 20",
+    "unknown_categories": "SELECT coalesce(difficulty, '__unknown__') AS category, count(*) AS n FROM generated_examples WHERE coalesce(difficulty, '__unknown__') NOT IN ('easy', 'medium', 'hard', 'expert') GROUP BY 1",
+    "quality_summaries": f"""SELECT example_id, array_to_string(list_filter([CASE WHEN h AND y IS NULL AND (s IS NULL OR s >= 3) THEN '[PASS]' ELSE '[FAIL]' END, CASE WHEN NOT h THEN 'heuristic_fail' END, CASE WHEN y IS NOT NULL THEN 'syntax_fail' END,
+        CASE WHEN h AND y IS NULL AND s IS NOT NULL THEN 'llm_score=' || printf('%.1f', s) END, CASE WHEN NOT h OR y IS NOT NULL THEN 'issues=[' || array_to_string(list_concat(i, CASE WHEN y IS NULL THEN [] ELSE [y] END), ', ') || ']' END], lambda x: x IS NOT NULL), ' ') AS summary
+      FROM (SELECT example_id, CASE WHEN score::VARCHAR <> 'nan' THEN score END AS s, {ISSUES} AS i, len({ISSUES}) = 0 AS h, {SYNTAX} AS y FROM generated_examples)""",
+}
 SQL |= {f"balance_counts_{s}": _targets_sql(s) for s in balance.STRATEGIES}
 for _s in ("upsample", "both"):
     SQL[f"rebalance_{_s}"] = f"SELECT category AS difficulty, target AS n, least(target, current) AS n_ids FROM ({_targets_sql(_s)})"

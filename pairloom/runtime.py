@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -56,8 +57,10 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: the session's setting, or one of our own where it is unset (tests)."""
+    """The folder that all executors share: the session's setting, or one of our own where it is unset and all runs on one machine."""
     folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    if not folder and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     if not folder:
         folder = f"file://{tempfile.mkdtemp(prefix='pairloom-')}"
         spark.conf.set(CHECKPOINT_KEY, folder)
@@ -73,13 +76,19 @@ def materialize(df: DataFrame, name: str, dictionary: bool = True) -> DataFrame:
     The tables of a session go when release() is called or the process ends. dictionary=False suits columns of hashes.
     """
     spark = df.sparkSession
+    path = table_path(spark, name)
+    df.write.option("compression", "zstd").option("parquet.enable.dictionary", str(dictionary).lower()).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def table_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there goes as materialize() says."""
     ship(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").option("parquet.enable.dictionary", str(dictionary).lower()).parquet(path)
     if not _written:
-        atexit.register(_release_local)
+        atexit.register(_release_all)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def release(spark: SparkSession) -> int:
@@ -92,10 +101,15 @@ def release(spark: SparkSession) -> int:
     return len(mine)
 
 
-def _release_local() -> None:
-    for _, path in _written:
-        if urlparse(path).scheme in ("", "file"):
-            shutil.rmtree(urlparse(path).path, ignore_errors=True)
+def _release_all() -> None:
+    """At the end of the process: through Hadoop's file system where the session still runs, else what is on this machine."""
+    for spark, path in _written:
+        try:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # noqa: BLE001 - the session was stopped
+            if urlparse(path).scheme in ("", "file"):
+                shutil.rmtree(urlparse(path).path, ignore_errors=True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -80,23 +80,37 @@ def report_path(folder: str, name: str) -> Path:
     return path
 
 
-def write_report(report: dict, folder: str, slug: str, stamp: str) -> str:
-    """Write a report as <slug>_<stamp>.json; returns the path."""
+def write_report(report: dict, folder: str, slug: str, stamp: str, spark: SparkSession | None = None) -> str:
+    """Write a report as <slug>_<stamp>.json; returns the path. With a session, to any file system that Spark knows; else
+    to this machine's."""
     name = re.sub("[^a-z0-9]+", "-", slug.lower()).strip("-") or "model"
-    os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, f"{name}_{stamp}.json")
-    Path(path).write_text(json.dumps(report, ensure_ascii=False, indent=2), encoding="utf-8")
+    path = f"{folder}/{name}_{stamp}.json"
+    text = json.dumps(report, ensure_ascii=False, indent=2)
+    if spark is None:
+        os.makedirs(folder, exist_ok=True)
+        Path(path).write_text(text, encoding="utf-8")
+        return path
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
     return path
 
 
 def write_splits(df: DataFrame, folder: str, split_col: str = "split", single_file: bool = False) -> dict[str, str]:
     """Write each split's rows as JSON lines into <folder>/<split_col>=<name>; returns the folders by name.
 
-    single_file gives one file to a split, which suits splits that one task can write.
+    single_file gives one file to a split: a split goes to one task, different splits to different ones. The names are those
+    of the folders written, so the rows are computed once; a null split is named by Hive's default.
     """
-    out = df.repartition(1) if single_file else df
+    out = df.repartition(col(split_col)) if single_file else df
     out.write.mode("overwrite").partitionBy(split_col).option("ignoreNullFields", "false").json(folder)
-    names = [r[0] for r in df.select(split_col).distinct().collect()]
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    names = [f.getPath().getName().split("=", 1)[1] for f in found if "=" in f.getPath().getName()]
     return {n: f"{folder}/{split_col}={n}" for n in names}
 
 
@@ -139,14 +153,27 @@ def register_ddl(spark: SparkSession, ddl: str) -> list[str]:
 
 
 def read_settings(path: str, defaults: dict) -> dict:
-    """JSON settings over nested defaults; unknown keys go to extra, an unreadable file gives the defaults."""
+    """JSON or, where a YAML parser is installed, YAML settings over nested defaults; unknown keys go to extra, an unreadable
+    file gives the defaults."""
     try:
-        given = json.loads(Path(path).read_text(encoding="utf-8"))
+        text = Path(path).read_text(encoding="utf-8")
+        given = _yaml(text) if path.endswith((".yaml", ".yml")) else json.loads(text)
     except (OSError, ValueError):
         given = {}
     return _over(defaults, given if isinstance(given, dict) else {})
 
 
+def _yaml(text: str) -> object:
+    try:
+        import yaml
+    except ImportError as e:
+        raise ValueError("no YAML parser") from e
+    try:
+        return yaml.safe_load(text)
+    except yaml.YAMLError as e:
+        raise ValueError("no YAML") from e
+
+
 def _over(defaults: dict, given: dict) -> dict:
     out = {k: _over(v, given.get(k) or {}) if isinstance(v, dict) else given.get(k, v) for k, v in defaults.items()}
     extra = {k: v for k, v in given.items() if k not in defaults}

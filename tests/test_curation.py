@@ -122,7 +122,7 @@ def test_heuristic_issues_in_order(spark):
 
 
 def test_syntax_issue(spark):
-    cases = {"SELECT 'a": "SQL has unclosed string literal", "SELECT 'it''s'": None, "SELECT a, ;": "SQL ends with a trailing comma", " ": "sqlparse returned empty result"}
+    cases = {"SELECT 'a": "SQL has unclosed string literal", "SELECT 'it''s'": None, "SELECT a, ;": "SQL ends with a trailing comma", " ": "SQL holds no statement"}
     df = spark.createDataFrame([(k,) for k in cases], "sql string")
     assert {r[0]: r[1] for r in df.select("sql", filters.syntax_issue(F.col("sql"))).collect()} == cases
 
@@ -256,3 +256,52 @@ def test_fuzzy_queries_equal_the_sequential_loop_over_generated_examples(spark):
     assert sorted(r.example_id for r in curation.fuzzy_dedup(spark, SMALL).collect()) == kept and len(kept) < len(rows)
     assert {tuple(r) for r in curation.fuzzy_pairs(spark, SMALL).collect()} == {(*x, True) for x in same} | {(*x, False) for x in near}
     assert same and near
+
+
+def test_buckets_of_any_size_equal_the_sequential_loop(spark):
+    rng = random.Random(4)
+    for _ in range(3):
+        members = sorted({(rng.randrange(60), rng.randrange(40)) for _ in range(90)} | {(p, 99) for p in range(50, 60)})
+        stay, gone = [], set()
+        for pos in range(60):
+            mine = {v for p, v in members if p == pos}
+            if any(mine & {v for p, v in members if p == k} for k in stay):
+                gone.add(pos)
+            else:
+                stay.append(pos)
+        df = spark.createDataFrame(members, "pos bigint, v bigint")
+        assert {r[0] for r in dedup.bucket_drops(df).collect()} == gone
+
+
+def test_recall_of_minhash_pairs(spark):
+    """Pairs of a true overlap well above the threshold are found with a recall of 0.9 or more."""
+    rng = random.Random(5)
+    rows = []
+    for k in range(300):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(40)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base[:39] + [f"x{k}"]))]  # overlap 39 of 41
+    got = {tuple(r) for r in dedup.minhash_pairs(spark.createDataFrame(rows, "pos bigint, text string"), "text", "pos").collect()}
+    assert len(got & {(2 * k, 2 * k + 1) for k in range(300)}) >= 270
+
+
+def test_disks_buses_and_summaries(spark):
+    rows = [("/dev/sda1", "ext4", "sata"), ("/dev/nvme0n1p2", "btrfs", "NVMe"), ("tmpfs", "TMPFS", None), ("/dev/loop3", "xfs", "usb"), ("x", None, ""), ("/dev/mmcblk0p1", "vfat", "mmc"), (None, "ext4", "UASP"), ("/dev/fuse", "fuse", "sas")]
+    df = spark.createDataFrame(rows, "d string, f string, b string").select(filters.disk_kind(F.col("d"), F.col("f")).alias("k"), filters.bus_class(F.col("b")).alias("c"))
+    assert [(r.k, r.c.builtin, r.c.bus) for r in df.collect()] == [
+        ("sda", True, "SATA"), ("nvme0n1", True, "NVME"), ("skip", False, "Unknown"), ("skip", False, "USB"), ("skip", False, "Unknown"), ("mmcblk0", False, "MMC"), ("", False, "UASP"), ("skip", True, "SAS"),
+    ]
+    q = filters.quality(F.col("n"), F.col("s"), F.lit(4.25))
+    made = spark.createDataFrame([("What are all the names?", "SELECT name FROM users"), ("Hi", "SELECT name FROM users,")], "n string, s string").select(filters.quality_summary(q).alias("x")).collect()
+    assert made[0].x == "[PASS] llm_score=4.2" and made[1].x == "[FAIL] heuristic_fail syntax_fail issues=[NL too short (2 < 10), SQL ends with a trailing comma]"
+
+
+def test_seed_subsets_and_order(spark):
+    df = spark.range(30).select(F.col("id"), F.lit("q").alias("request"))
+    asked = spark.createDataFrame([(7,), (8,), (None,)], "job int")
+    got = split.seed_subsets(df.select("id"), asked, "job", F.col("id"), 5).collect()
+    assert len(got) == 10 and all(len({r.id for r in got if r.request == k}) == 5 for k in (7, 8))
+    assert split.seed_subsets(df.select("id").limit(2), asked.filter("job = 7"), "job", F.col("id"), 5).count() == 2
+    assert split.seed_subsets(df.select("id").limit(0), asked, "job", F.col("id"), 5).collect() == []
+    assert sorted(r.id for r in split.shuffled(df, F.col("id")).collect()) == list(range(30)) != [r.id for r in split.shuffled(df, F.col("id")).collect()]
+    assert [r.id for r in split.first_rows(df, "id", 2).collect()] == [0, 1] and split.first_rows(df, "id", -1).collect() == []
+    assert [tuple(r) for r in balance.unknown_categories(df, "request", {"a": 1.0}).collect()] == [("q", 30)]

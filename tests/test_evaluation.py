@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +131,91 @@ def test_plans_sizes_and_totals(spark):
     long = runs.wide_to_long(spark.createDataFrame([("r", 1, 0.5, None)], "run_id string, step int, a double, b double"), ["run_id", "step"], ["a", "b"])
     assert [tuple(r) for r in long.collect()] == [("r", 1, "a", 0.5)]
     assert runs.runs_table(spark, [("r", "done", 1_700_000_000_000, {"a": "b"}, {"m": 1.0})]).head().start_time.year == 2023
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "SELECT reflect('java.lang.System', 'getProperty', 'user.home') FROM users", "SELECT `java_method`('a', 'b') FROM users", "SELECT * FROM csv.`/etc/passwd`", "SELECT * FROM users WHERE id IN (SELECT value FROM text.`/tmp/x`)",
+        "WITH a AS (SELECT * FROM parquet.`/tmp/y`) SELECT * FROM a", "SET x = 1", "INSERT INTO users SELECT 1, 'a', 2", "CREATE VIEW v AS SELECT 1", "SELECT * FROM other_catalog.users", "SHOW TABLES",
+    ],
+)
+def test_gate_reads_nothing_but_its_tables(users, sql):
+    assert users.check(sql).status == "unsafe"
+
+
+def test_gate_allows_what_only_looks_unsafe(users):
+    assert users.check("SELECT 'reflect(1) csv.`/x`' AS a FROM users").passed
+    assert users.check("WITH a AS (SELECT id FROM users) SELECT count(*) FROM a WHERE id IN (SELECT user_id FROM orders)").passed
+
+
+@pytest.mark.parametrize(
+    ("sql", "status"),
+    [
+        ("INSERT INTO users SELECT id, name, age FROM users", "empty_result"), ("INSERT INTO users (id, name) VALUES (7, 'x')", "empty_result"), ("INSERT INTO users VALUES (1)", "execution_error"), ("DELETE FROM users WHERE id = 1", "empty_result"),
+        ("DELETE FROM users WHERE nope = 1", "execution_error"), ("UPDATE users SET age = age + 1 WHERE id = 2", "empty_result"), ("UPDATE users SET age = nope", "execution_error"), ("DROP TABLE users", "unsafe"), ("INSERT INTO users SELECT * FROM csv.`/x`", "unsafe"),
+    ],
+)
+def test_gate_checks_changes_without_making_them(spark, users, sql, status):
+    writer = gate.Gate(spark, users.tables, timeout=60, allow_writes=True)
+    assert writer.check(sql).status == status
+    assert gate.Gate(spark, users.tables, timeout=60, allow_writes=True, allow_empty=True).check(sql).passed == (status == "empty_result")
+    assert writer.check("SELECT count(*) FROM users", "SELECT 3").passed
+
+
+def test_one_deadline_holds_for_a_whole_check(spark):
+    g = gate.Gate(spark, timeout=1.5)
+    spark.range(100_000).createOrReplaceTempView("many")
+    slow = "SELECT count(*) FROM many a JOIN many b ON a.id < b.id + b.id % 7"
+    began = time.time()
+    assert g.check("SELECT 1", slow).status == "timeout" and time.time() - began < 15
+
+
+def test_execution_accuracy(spark, users):
+    rows = [(1, "SELECT name FROM users", "SELECT name FROM users ORDER BY 1"), (2, "SELECT 1", "SELECT 2"), (3, None, "SELECT 1"), (4, "SELECT 1", None), (5, "SELECT id FROM users WHERE id > 9", "SELECT id FROM users WHERE id > 8"), (6, "SELECT nope", "SELECT 1"), (1, "SELECT 1", "SELECT 1")]
+    df = spark.createDataFrame(rows[:6], "id int, p string, t string")
+    made = report.scored(df, "p", "t", ["exact_match", "exec_accuracy"], users, "id")
+    assert {r.id: r.exec_accuracy for r in made.collect()} == {1: 1.0, 2: 0.0, 3: 0.0, 4: 0.0, 5: 1.0, 6: 0.0}
+    assert report.evaluate(made.withColumn("category", F.lit("a")).withColumn("difficulty", F.lit("b")), ["exec_accuracy"]).filter("group_kind = 'overall'").head().exec_accuracy == 0.333333
+    with pytest.raises(ValueError):
+        report.scored(df, "p", "t", ["exec_accuracy"])
+    assert gate.execution_scores(users, df.limit(0), "id", "p", "t").collect() == []
+
+
+def test_rows_are_zipped_in_order(spark):
+    a = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "k int, v string")
+    b = spark.createDataFrame([("y", 20), ("x", 10), ("z", 30)], "v string, n int")
+    assert sorted(tuple(r) for r in report.zipped(a, b, "k", "n").collect()) == [(1, "a", "x", 10), (2, "b", "y", 20), (3, "c", "z", 30)]
+    assert report.zipped(a, b.filter("n < 30"), "k", "n", strict=False).count() == 2
+    with pytest.raises(ValueError):
+        report.zipped(a, b.filter("n < 30"), "k", "n")
+    assert report.zipped(a.limit(0), b.limit(0), "k", "n").collect() == []
+
+
+def test_positions_over_many_ranges(spark, monkeypatch):
+    from pairloom.operators import ranking
+
+    monkeypatch.setattr(ranking, "BIN_ROWS", 50)
+    got = {r.id: r.at for r in ranking.positions(spark.range(1000).withColumn("id", F.col("id") * 7 % 1000), "id", "at").collect()}
+    assert got == {i: i for i in range(1000)} and ranking.bin_digits(50 * 16 + 1) == 2
+
+
+def test_judges_and_jobs_fail_row_by_row(spark):
+    df = spark.createDataFrame([(1, "5"), (2, "x"), (3, "9"), (4, None)], "id int, a string")
+    assert {r.id: (r.score, r.error is None) for r in report.judged(df, lambda a: a, ["a"], "id").collect()} == {1: (5, True), 2: (0, False), 3: (0, False), 4: (0, False)}
+    assert {r.id: (r.response, r.error) for r in runs.run_jobs(df, ["a"], lambda a: a.upper(), "id").collect()}[2] == ("X", None)
+    assert {r.id: r.response for r in runs.run_jobs(df, ["a"], lambda a: a.upper(), "id").collect()}[4] is None
+
+
+def test_small_reports(spark):
+    rows = spark.createDataFrame([("a", 0.5), ("b", 1.0)], "k string, bleu double")
+    assert tuple(report.benchmark_row(rows, "m", ["bleu"], 4.0).head()) == ("m", 2, 0.75, 0.5)
+    assert report.benchmark_row(rows.limit(0), "m", ["bleu"], 0.0).head().per_second == 0.0
+    pct = spark.createDataFrame([(95.0,), (75.0,), (60.0,), (10.0,), (None,)], "p double").select(report.parity_verdict(F.col("p")).alias("v"))
+    assert [r.v for r in pct.collect()] == ["EXCELLENT", "GOOD", "ACCEPTABLE", "NEEDS WORK", None]
+    assert [r.k for r in runs.latest(rows, "bleu").collect()] == ["b"] and runs.latest(rows.limit(0), "bleu").collect() == []
+    bits = spark.createDataFrame([(4.5, "x"), (None, "q8"), (None, "?")], "b double, m string").select(runs.effective_bits(F.col("b"), F.col("m"), {"q8": 8.5}).alias("e"), runs.adapter_scale(F.lit(32), F.lit(16)).alias("s"))
+    assert [tuple(r) for r in bits.collect()] == [(4.5, 2.0), (8.5, 2.0), (None, 2.0)]
+    cost = runs.volume_costs(spark.createDataFrame([(1.0, 10.0)], "u double, f double"), "u", "f", [1, 100], 2.0).collect()
+    assert [(r.own_cost, r.other_cost, r.saved, r.break_even) for r in cost] == [(11.0, 2.0, -9.0, 10), (110.0, 200.0, 90.0, 10)]
+    assert runs.run_views(spark, rows, spark.createDataFrame([], "run_id string, metric string, step bigint, value double")) == ["runs", "run_metrics"] and spark.table("runs").count() == 2
