@@ -39,7 +39,7 @@ KEY_BITS, CELL_KEYS, KEYS_A_RECORD = (16, 30), 2048, 16
 #: The driver and the workers are told at most so many hot cells: those of more than a 2**-20 of all keys always.
 MAX_HOT = 1 << 20
 #: A sequence of words with at most this many expected holders is emitted as a key.
-RARE = 128
+RARE = 256
 #: A cell of the key sketch is hot if it holds more than this and four times the mean.
 HOT = 512
 #: Holders of a key that one block of a salted key has, about.
