@@ -18,6 +18,8 @@ BUCKET_BYTES = 32 << 20
 #: A map task folds its records in tries of at most so many bytes.
 LOCAL_BYTES = 32 << 20
 STRIDE = 32
+#: Prefixes of an unusual depth are broadcast up to so many, of at most 50 bytes each; more are joined by a shuffle.
+BROADCAST_ROWS = 100_000
 #: Bytes of a digest that may name a bucket: 256 ** 5 buckets, 3 * 10^19 bytes of different records at BUCKET_BYTES each.
 MAX_DEPTH = 5
 
@@ -166,7 +168,7 @@ def bucket_depths(heads: DataFrame, bucket_bytes: int) -> tuple[DataFrame, int]:
     for d in range(most - 1, 0, -1):
         below = F.sum("n").over(Window.partitionBy("table_name", F.substring("prefix", 1, 2 * d)))
         depth = F.when(below <= bucket_bytes, F.lit(d)).otherwise(depth)
-    return sized.select("table_name", "prefix", depth.alias("depth")), most
+    return materialize(sized.select("table_name", "prefix", depth.alias("depth")), "depths"), most
 
 
 class FormatDuplicates:
@@ -192,7 +194,15 @@ class FormatDuplicates:
         heads = self.local.filter("canon is not null").withColumn("digest", F.md5("canon"))
         depths, most = bucket_depths(heads, bucket_bytes)
         prefixed = heads.withColumn("prefix", F.substring("digest", 1, 2 * most))
-        joined = prefixed.join(depths, ["table_name", "prefix"])
+        counts = {r["depth"]: r["count"] for r in depths.groupBy("depth").count().collect()}  # a row for each depth
+        usual = max(counts, key=lambda d: (counts[d], d), default=1)
+        # digests spread keys evenly, so nearly all prefixes have one depth; only the others are looked up
+        others, n = depths.filter(F.col("depth") != usual), sum(counts.values()) - counts.get(usual, 0)
+        joined = prefixed.withColumn("depth", F.lit(usual))
+        if n:
+            others = others.withColumnRenamed("depth", "own")
+            looked = prefixed.join(F.broadcast(others) if n <= BROADCAST_ROWS else others, ["table_name", "prefix"], "left")
+            joined = looked.withColumn("depth", F.coalesce("own", F.lit(usual)))
         bucketed = joined.select(F.concat_ws(":", "table_name", F.expr("substring(prefix, 1, 2 * depth)")).alias("bucket"), "table_name", "local_keep", "canon", "n_local")
         counted = bucketed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count, "table_name string, local_keep bigint, keep_id bigint, n_copies bigint")
         self.groups = materialize(counted, "counted", dictionary=False)
