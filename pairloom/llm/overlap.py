@@ -8,20 +8,18 @@ from pyspark.sql import functions as F
 from pairloom.llm.wordjoin import RARE, linked_nodes, records
 from pairloom.runtime import col, materialize
 
-# The spellings of the splits, lower-cased and trimmed.
-SPLIT_NAMES = {
-    "train": ("train", "training"),
-    "validation": ("validation", "valid", "val", "dev"),
-    "test": ("test", "testing", "holdout"),
-}
+# How the names of the splits begin, as lower-cased letters.
+SPLIT_NAMES = {"train": ("train",), "validation": ("val", "dev", "eval"), "test": ("test", "holdout", "heldout")}
 
 
 def split_name(name: str) -> Column:
-    """train, validation, test, or null for a null or unknown split."""
-    raw = F.lower(F.regexp_replace(col(name).cast("string"), r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
+    """train, validation, test, or null for a null or unknown split; case, marks, blanks and what follows the name don't matter
+    (" Train", "dev_set", "hold-out", "evaluation")."""
+    letters = F.regexp_replace(F.lower(col(name).cast("string")), r"[^\p{L}]+", "")
     out = F.lit(None).cast("string")
-    for split, spellings in SPLIT_NAMES.items():
-        out = F.when(raw.isin(*spellings), F.lit(split)).otherwise(out)
+    for split, starts in SPLIT_NAMES.items():
+        for start in starts:
+            out = F.when(letters.startswith(start), F.lit(split)).otherwise(out)
     return out
 
 

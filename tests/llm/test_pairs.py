@@ -181,3 +181,9 @@ def test_components_equal_a_plain_search(spark, limit):
     path = spark.createDataFrame([(i, i + 1) for i in range(120)], "u bigint, v bigint").repartition(8)
     assert {r.root for r in unionfind.components(path, limit).collect()} == {0}
     assert unionfind.components(path.limit(0)).collect() == []
+
+
+def test_split_names_in_any_spelling(spark):
+    names = {"Train": "train", " TRAINING set": "train", "train_1": "train", "valid": "validation", "Dev-Set": "validation", "evaluation": "validation", "TEST": "test", "hold-out": "test", "held out": "test", "other": None, "": None, None: None}
+    df = spark.createDataFrame([(k,) for k in names], "split string")
+    assert {r.split: r.s for r in df.select("split", overlap.split_name("split").alias("s")).collect()} == names
