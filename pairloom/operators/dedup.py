@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.text import fingerprint, tokens
-from pairloom.runtime import col, fresh_name, materialize, table_path
+from pairloom.runtime import col, fresh_name, materialize
 
 PRIME = (1 << 31) - 1
+#: Rows of buckets that one task decides in order.
+TASK_ROWS = 2_000_000
 
 
 def exact_dedup(df: DataFrame, fields: list[str], order_col: str, keep: str = "first") -> DataFrame:
@@ -140,28 +142,48 @@ def _band_pairs(sets: DataFrame, threshold: float, num_perm: int, seed: int) ->
     return met.select(F.col("a.pos").alias("pos_a"), F.col("b.pos").alias("pos_b")).distinct()
 
 
-def bucket_drops(members: DataFrame) -> DataFrame:
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows to drop among those of one task, in the order of pos."""
+    parts = [(b.column("pos").to_numpy(zero_copy_only=False), b.column("v").to_numpy(zero_copy_only=False)) for b in batches]
+    if not parts:
+        return
+    pos, v = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(pos, kind="stable")
+    pos, v = pos[order], np.unique(v, return_inverse=True)[1][order].tolist()
+    starts = np.flatnonzero(np.diff(pos, prepend=pos[0] - 1)).tolist()
+    taken: set[int] = set()
+    gone = []
+    for lo, hi in zip(starts, [*starts[1:], len(v)]):
+        if taken.isdisjoint(v[lo:hi]):
+            taken.update(v[lo:hi])
+        else:
+            gone.append(int(pos[lo]))
+    yield pa.RecordBatch.from_arrays([pa.array(gone, pa.int64())], names=["pos"])
+
+
+def bucket_drops(members: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     """(pos): rows to drop, so that a row stays exactly if it shares no bucket with an earlier row that stays.
 
     members (pos, v): the buckets v of each row; the rows of a bucket are all partners of each other, and are never written
     as pairs. A round keeps each row that is the first undecided one of all its buckets, and drops what shares a bucket
-    with it, so that a bucket of any size is decided by its first row. A chain a-b-c keeps a and c. There are as many
-    rounds as the longest chain of rows that wait for each other; each works on the rows that are still undecided.
+    with it, so that a bucket of any size is decided by its first row. A chain a-b-c keeps a and c. Rounds work on the rows
+    that are still undecided, and end when those fit in one task (task_rows), which decides them in order; so only chains
+    of rows waiting for each other among more than task_rows rows cost a round for each link.
     """
     spark = members.sparkSession
     sizes = members.groupBy("v").agg(F.count("*").alias("n")).filter("n > 1")
-    left = materialize(members.join(sizes.select("v"), "v", "left_semi"), "open")
-    path, schema = table_path(spark, "gone"), "pos bigint"
-    spark.createDataFrame([], schema).write.parquet(path)
-    while not left.isEmpty():
+    left = materialize(members.join(sizes.select("v"), "v", "left_semi").select("pos", "v"), "open")
+    found: list[DataFrame] = []
+    while left.count() > task_rows:
         first = left.groupBy("v").agg(F.min("pos").alias("m"))
         kept = left.join(first, "v").groupBy("pos").agg(F.bool_and(F.col("pos") == F.col("m")).alias("first")).filter("first").select("pos")
         kept = materialize(kept, "kept")
-        taken = left.join(kept, "pos", "left_semi").select("v").distinct()
-        gone = materialize(left.join(taken, "v", "left_semi").join(kept, "pos", "left_anti").select("pos").distinct(), "gone")
-        gone.write.mode("append").parquet(path)
+        taken = first.join(kept.withColumnRenamed("pos", "m"), "m")  # a row that is kept is the first of its buckets
+        gone = materialize(left.join(taken, "v").filter("pos <> m").select("pos").distinct(), "gone")
+        found.append(gone)
         left = materialize(left.join(kept.unionByName(gone), "pos", "left_anti"), "open")
-    return spark.read.schema(schema).parquet(path)
+    found.append(materialize(left.coalesce(1).mapInArrow(_one_by_one, "pos bigint"), "gone"))
+    return spark.read.schema("pos bigint").parquet(*[f for d in found for f in d.inputFiles()]) if any(d.inputFiles() for d in found) else found[-1]
 
 
 def greedy_drops(pairs: DataFrame) -> DataFrame:

@@ -271,6 +271,8 @@ def test_buckets_of_any_size_equal_the_sequential_loop(spark):
                 stay.append(pos)
         df = spark.createDataFrame(members, "pos bigint, v bigint")
         assert {r[0] for r in dedup.bucket_drops(df).collect()} == gone
+        assert {r[0] for r in dedup.bucket_drops(df, task_rows=0).collect()} == gone
+    assert dedup.bucket_drops(df.limit(0)).collect() == []
 
 
 def test_recall_of_minhash_pairs(spark):
